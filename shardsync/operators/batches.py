@@ -1,0 +1,92 @@
+"""Write batches per routing key."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from shardsync.operators.schema import column
+from shardsync.operators.staging import stage
+
+DEFAULT_BATCH = 100_000
+# Keys with more rows than one task should sort are ranked range by range.
+HOT_ROWS = 5_000_000
+
+_RUN, _TIE, _RANK, _BEFORE, _N = "_run", "_tie", "_rank", "_before", "_n"
+
+
+def batch_size_or_error(size: int) -> int:
+    """0 means 1, a negative size is an error."""
+    if size < 0:
+        raise ValueError(f"batch size must not be negative, it is {size}")
+    return size or 1
+
+
+def plan_batches(
+    df: DataFrame,
+    key: str,
+    order_by: Sequence[str],
+    batch_size: int = DEFAULT_BATCH,
+    out: str = "batch_id",
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Number the batches of every key: rows in order, ``batch_size`` to a batch.
+
+    The keys are counted first. Keys of at most ``hot_rows`` rows are ranked with
+    one window per key. A larger key is cut into sorted ranges that are ranked on
+    their own and shifted by the rows before them, so no task holds a whole key.
+    """
+    size = batch_size_or_error(batch_size)
+    counts = df.groupBy(column(key).alias("_hot_key")).agg(F.count("*").alias(_N))
+    hot = counts.where(F.col(_N) > hot_rows)
+    total = hot.agg(F.sum(_N)).first()[0]
+    order = [column(c) for c in order_by]
+    if total is None:
+        ranked = _ranked(df, [column(key)], order)
+    else:
+        # at most rows / hot_rows keys; written, so that Spark knows its size
+        # when it decides whether to broadcast it
+        hot_key = stage(hot, "hot-keys").select("_hot_key")
+        same = column(key).eqNullSafe(F.col("_hot_key"))
+        cold = _ranked(df.join(hot_key, same, "left_anti"), [column(key)], order)
+        ranges = max(
+            -(-total // hot_rows),
+            int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        )
+        warm = _ranked_by_range(df.join(hot_key, same, "left_semi"), key, order, ranges)
+        ranked = cold.unionByName(warm)
+    batch = F.floor((F.col(_RANK) - 1) / F.lit(size)).cast("bigint")
+    return ranked.withColumn(out, batch).drop(_RANK)
+
+
+def _ranked(df: DataFrame, groups, order) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order))
+    return df.withColumn(_RANK, rank.cast("bigint"))
+
+
+def _ranked_by_range(df: DataFrame, key: str, order, ranges: int) -> DataFrame:
+    # the tie-break lets equal order values fall into several ranges
+    tied = df.withColumn(_TIE, F.monotonically_increasing_id())
+    cut = tied.repartitionByRange(ranges, column(key), *order, F.col(_TIE))
+    # the range of a row is written down: both readers below must see the same one
+    runs = stage(cut.withColumn(_RUN, F.spark_partition_id()), "batch-runs")
+    sizes = runs.groupBy(column(key).alias("_run_key"), F.col(_RUN).alias("_run_no")).agg(
+        F.count("*").alias(_N)
+    )
+    # one row per range of a key, so at most ``ranges`` rows to a window
+    earlier = (
+        Window.partitionBy("_run_key")
+        .orderBy("_run_no")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    shift = sizes.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(earlier), F.lit(0)))
+    ranked = _ranked(runs, [column(key), F.col(_RUN)], [*order, F.col(_TIE)])
+    matched = ranked.join(
+        shift.drop(_N),
+        column(key).eqNullSafe(F.col("_run_key")) & (F.col(_RUN) == F.col("_run_no")),
+    )
+    return matched.withColumn(_RANK, F.col(_RANK) + F.col(_BEFORE)).drop(
+        _RUN, _TIE, _BEFORE, "_run_key", "_run_no"
+    )
