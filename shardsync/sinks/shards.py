@@ -128,6 +128,7 @@ def _per_shard(routed: DataFrame, n: int, at_once: int, write) -> None:
         write(i, staged.where(F.col(SHARD) == i).drop(SHARD))
 
     with ThreadPoolExecutor(max_workers=max(1, min(n, at_once))) as pool:
-        jobs = [pool.submit(inheritable_thread_target(one), i) for i in range(n)]
+        tagged = inheritable_thread_target(routed.sparkSession)(one)
+        jobs = [pool.submit(tagged, i) for i in range(n)]
         for job in jobs:
             job.result()
