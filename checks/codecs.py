@@ -253,12 +253,13 @@ BOOL_LITERAL = """
 def array_decode_bool(spark, sf_dir):
     # the spellings 1/0 and t/f in one literal
     r, o = F.col("l_returnflag") == "R", F.col("l_linestatus") == "O"
-    literal = F.format_string(
-        "{%s,%s,%s,NULL}",
-        r.cast("int"),
+    spelled = [
+        r.cast("int").cast("string"),
         F.when(r, "t").otherwise("f"),
         F.when(o, "t").otherwise("f"),
-    )
+        F.lit("NULL"),
+    ]
+    literal = F.concat(F.lit("{"), F.concat_ws(",", *spelled), F.lit("}"))
     a = F.col("a")
     return (
         table(spark, sf_dir, "lineitem")

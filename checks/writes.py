@@ -14,6 +14,7 @@ from shardsync import (
     write_sharded,
     write_stream_sharded,
 )
+from shardsync.operators.batches import HOT_ROWS
 from shardsync.operators.staging import fresh_dir
 
 
@@ -63,25 +64,27 @@ def route_by_task(spark, sf_dir):
     )
 
 
-BATCHES = """
-    SELECT event_id, user_id,
-           CAST((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 50 AS BIGINT)
+def batch_oracle(key: str) -> str:
+    return f"""
+    SELECT event_id, {key},
+           CAST((row_number() OVER (PARTITION BY {key} ORDER BY event_id) - 1) // 50 AS BIGINT)
              AS batch_id
     FROM events
-"""
+    """
 
 
-@check(BATCHES)
+@check(batch_oracle("user_id"))
 def batch_plan(spark, sf_dir):
     df = table(spark, sf_dir, "events", columns=["event_id", "user_id"])
     return plan_batches(df, "user_id", ["event_id"], 50)
 
 
-@check(BATCHES)
+@check(batch_oracle("event_type"))
 def batch_plan_hot_keys(spark, sf_dir):
-    # every key above 60 rows is ranked range by range
-    df = table(spark, sf_dir, "events", columns=["event_id", "user_id"])
-    return plan_batches(df, "user_id", ["event_id"], 50, hot_rows=60)
+    # every one of the few keys is above a 32nd of the rows and is ranked in ranges
+    df = table(spark, sf_dir, "events", columns=["event_id", "event_type"])
+    hot_rows = min(HOT_ROWS, df.count() // 32)
+    return plan_batches(df, "event_type", ["event_id"], 50, hot_rows=hot_rows)
 
 
 @check(

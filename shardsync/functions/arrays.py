@@ -11,19 +11,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsync.functions.text import (
-    bool_text,
-    escape_text,
-    time_text,
-    unescape_text,
-)
+from shardsync.functions.text import escape_text, time_text, unescape_text
 from shardsync.functions.types import NUMBERS, TEXT, TIMES, element_type
 
 # One element: a quoted run or everything up to the next comma. The possessive
-# ``*+`` makes the regex engine loop instead of recurse, so element length is
-# not limited by the thread stack.
-_HOST_TOKEN = r'(?s)"(?:[^"\\]|\\.)*+"|[^,]+'
-_SINK_TOKEN = r"(?s)'(?:[^'\\]|\\.)*+'|[^,]+"
+# ``*+`` makes the regex engine loop instead of recurse and backtrack, so element
+# length is not limited by the thread stack.
+_HOST_TOKEN = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,]+'
+_SINK_TOKEN = r"(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|[^,]+"
 
 
 def encode_array(
@@ -47,7 +42,11 @@ def decode_array(
 ) -> Column:
     """Host literal to typed array; an element that does not parse becomes NULL."""
     t = element_type(elem_type)
-    return _parsed(_host_items(c), t, c, empty_as_null)
+    if isinstance(t, TEXT):
+        items = _host_items(c)
+    else:
+        items = _plain_items(c, '"').try_cast(T.ArrayType(t))
+    return F.when(F.length(c) > 2, items) if empty_as_null else items
 
 
 def encode_sink_array(
@@ -73,23 +72,27 @@ def decode_sink_array(
 ) -> Column:
     """Sink literal to typed array."""
     t = element_type(elem_type)
-    items = F.transform(_tokens(c, _SINK_TOKEN), lambda x: _item(x, "'", unescape_text))
-    return _parsed(items, t, c, empty_as_null)
+    if isinstance(t, TEXT):
+        items = F.transform(_tokens(c, _SINK_TOKEN), lambda x: _item(x, "'", unescape_text))
+    else:
+        items = _plain_items(c, "'").try_cast(T.ArrayType(t))
+    return F.when(F.length(c) > 2, items) if empty_as_null else items
 
 
 def to_sink_array(c: Column, elem_type: T.DataType | str) -> Column:
     """Host literal to sink literal; ``{}`` becomes NULL."""
     t = element_type(elem_type)
     if isinstance(t, NUMBERS):
-        text = F.concat(F.lit("["), _body(c), F.lit("]"))
-        return F.when(c != "{}", text)
-    if isinstance(t, T.BooleanType):
-        items = F.transform(_host_items(c), lambda x: bool_text(x.try_cast("boolean")))
-    elif isinstance(t, TEXT):
+        return F.when(c != "{}", F.concat(F.lit("["), _body(c), F.lit("]")))
+    if isinstance(t, TEXT):
         items = F.transform(_host_items(c), lambda x: _quoted(_sink_escape(x), "'"))
+    elif isinstance(t, T.BooleanType):
+        flags = _plain_items(c, '"').try_cast("array<boolean>")
+        items = flags.cast("array<tinyint>").cast("array<string>")
     else:
-        items = F.transform(_host_items(c), lambda x: _quoted(x, "'"))
-    return _wrapped(items, items, "[", "]", empty_as_null=True)
+        items = F.transform(_plain_items(c, '"'), lambda x: _quoted(x, "'"))
+    text = F.concat(F.lit("["), F.array_join(items, ",", "NULL"), F.lit("]"))
+    return F.when(c != "{}", text)
 
 
 def _body(c: Column) -> Column:
@@ -106,16 +109,20 @@ def _host_items(c: Column) -> Column:
 
 def _item(x: Column, quote: str, unescape) -> Column:
     inner = F.substring(x, F.lit(2), F.length(x) - 2)
-    return (
-        F.when(F.startswith(x, F.lit(quote)), unescape(inner))
-        .when(F.upper(x) != "NULL", x)
-    )
+    return F.when(F.startswith(x, F.lit(quote)), unescape(inner)).otherwise(_not_null_word(x))
 
 
-def _parsed(items: Column, t: T.DataType, c: Column, empty_as_null: bool) -> Column:
-    if not isinstance(t, TEXT):
-        items = items.try_cast(T.ArrayType(t))
-    return F.when(F.length(c) > 2, items) if empty_as_null else items
+def _not_null_word(x: Column) -> Column:
+    return F.when(F.upper(x) != "NULL", x)
+
+
+def _plain_items(c: Column, quote: str) -> Column:
+    """Element texts of a literal whose elements hold no comma and no quote.
+
+    The word NULL is taken out here, as a cast of text that does not parse costs an
+    exception."""
+    bare = F.replace(_body(c), F.lit(quote), F.lit(""))
+    return F.transform(F.array_remove(F.split(bare, ","), ""), _not_null_word)
 
 
 def _wrapped(

@@ -12,7 +12,7 @@ from shardsync.operators.staging import stage
 
 DEFAULT_BATCH = 100_000
 # Keys with more rows than one task should sort are ranked range by range.
-HOT_ROWS = 5_000_000
+HOT_ROWS = 20_000_000
 
 _RUN, _TIE, _RANK, _BEFORE, _N = "_run", "_tie", "_rank", "_before", "_n"
 

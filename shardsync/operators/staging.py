@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,10 +38,25 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` and return the written table. Its folder stays behind for the
-    readers; the shared folder's retention removes it."""
-    path = fresh_dir(df.sparkSession, label)
-    writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` and return the written table. Its folder stays behind for
+    whoever reads it later."""
+    return _written(df, fresh_dir(df.sparkSession, label))
+
+
+@contextmanager
+def staged_once(df: DataFrame, label: str, partition_by: str) -> Iterator[DataFrame]:
+    """Write ``df`` cut by a column and remove the copy at the end of the block."""
+    spark = df.sparkSession
+    path = fresh_dir(spark, label)
+    try:
+        yield _written(df, path, partition_by)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.delete(folder, True)
+
+
+def _written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from shardsync.operators.batches import DEFAULT_BATCH, batch_size_or_error
 from shardsync.operators.routing import SEGMENT, SHARD, route
 from shardsync.operators.schema import check_sink_schema, column
-from shardsync.operators.staging import stage
+from shardsync.operators.staging import staged_once
 from shardsync.operators.tables import encode_row, encode_table
 from shardsync.sources.named_query import is_named_query
 from shardsync.sources.shards import FORMATS, ShardSpec, common_root
@@ -44,7 +44,8 @@ def write_sharded(
     copy cut by shard, so the input is computed once. ``layout`` says how rows
     reach the files: ``direct`` writes where they are, ``rebalance`` gathers a
     shard's rows first and lets adaptive execution split a large shard over many
-    tasks; ``auto`` takes ``direct`` for few shards.
+    tasks; ``auto`` takes ``direct`` for few shards. ``max_writers`` caps the tasks
+    that write to one shard at a time, 0 means as many as the cluster has slots.
 
     A file write is committed as a whole. A JDBC append commits per task and is
     at-least-once: a task that is run again may repeat its rows.
@@ -58,7 +59,7 @@ def write_sharded(
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {', '.join(LAYOUTS)}, not {layout!r}")
     if max_writers is not None and max_writers < 1:
-        raise ValueError("there must be at least one writer")
+        max_writers = df.sparkSession.sparkContext.defaultParallelism
     size = None if batch_size is None else batch_size_or_error(batch_size)
     names = list(columns) if columns is not None else df.columns
     check_sink_schema(df.select(*map(column, names)).schema)
@@ -74,10 +75,12 @@ def write_sharded(
     routed = _laid_out(routed, len(shards), layout, keyed)
     root = common_root(shards, table)
     if root is not None:
+        routed = _capped(routed, max_writers)
         _files(routed, fmt, mode, size, options).partitionBy(SHARD).save(root)
         return
 
     def write(i: int, rows: DataFrame) -> None:
+        rows = _capped(rows, max_writers)
         _files(rows, fmt, mode, size, options).save(shards[i].location(table))
 
     _per_shard(routed, len(shards), shards_at_once, write)
@@ -86,7 +89,14 @@ def write_sharded(
 def _laid_out(routed: DataFrame, n: int, layout: str, keyed: bool) -> DataFrame:
     if layout == "direct" or not keyed or (layout == "auto" and n <= DIRECT_SHARDS):
         return routed
-    return routed.hint("rebalance", SHARD)
+    # only adaptive execution splits a large shard; without it, gathering would
+    # leave the shard to one task
+    adaptive = routed.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    return routed.hint("rebalance", SHARD) if adaptive else routed
+
+
+def _capped(df: DataFrame, max_writers: int | None) -> DataFrame:
+    return df if max_writers is None else df.coalesce(max_writers)
 
 
 def _files(df: DataFrame, fmt: str, mode: str, size: int | None, options: dict | None):
@@ -122,13 +132,13 @@ def _per_shard(routed: DataFrame, n: int, at_once: int, write) -> None:
     if n == 1:
         write(0, routed.drop(SHARD))
         return
-    staged = stage(routed, "routed", partition_by=SHARD)
+    with staged_once(routed, "routed", SHARD) as staged:
 
-    def one(i: int) -> None:
-        write(i, staged.where(F.col(SHARD) == i).drop(SHARD))
+        def one(i: int) -> None:
+            write(i, staged.where(F.col(SHARD) == i).drop(SHARD))
 
-    with ThreadPoolExecutor(max_workers=max(1, min(n, at_once))) as pool:
-        tagged = inheritable_thread_target(routed.sparkSession)(one)
-        jobs = [pool.submit(tagged, i) for i in range(n)]
-        for job in jobs:
-            job.result()
+        with ThreadPoolExecutor(max_workers=max(1, min(n, at_once))) as pool:
+            tagged = inheritable_thread_target(routed.sparkSession)(one)
+            jobs = [pool.submit(tagged, i) for i in range(n)]
+            for job in jobs:
+                job.result()

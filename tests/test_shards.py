@@ -110,6 +110,34 @@ def test_rows_per_file(spark, tmp_path):
     assert len(list(Path(shards[0].location("t")).glob("*.parquet"))) == 4
 
 
+@pytest.mark.parametrize(("cap", "files"), [(1, 1), (2, 2), (0, 6)])
+def test_writers_of_a_shard_are_capped(spark, tmp_path, cap, files):
+    shards = file_cluster(str(tmp_path), 3)
+    write_sharded(rows(spark).repartition(6), shards, "t", max_writers=cap)
+    found = [len(list(Path(s.location("t")).glob("*.parquet"))) for s in shards]
+    slots = spark.sparkContext.defaultParallelism
+    assert found == [min(files, cap or slots)] * 3
+    assert read_sharded(spark, shards, "t").count() == 1000
+
+
+def test_gathering_needs_adaptive_execution(spark, tmp_path):
+    shards = file_cluster(str(tmp_path), 3)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        write_sharded(rows(spark).repartition(6), shards, "t", layout="rebalance")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list(Path(shards[0].location("t")).glob("*.parquet"))) == 6
+
+
+def test_staged_copies_are_removed(spark, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("routed-*"))
+    shards = [ShardSpec((str(tmp_path / place),)) for place in ("a", "b")]
+    write_sharded(rows(spark), shards, "t")
+    assert set(shared.glob("routed-*")) == before
+
+
 def test_shards_are_matched_by_name_and_cast(spark, tmp_path):
     a, b = ShardSpec((str(tmp_path / "a"),)), ShardSpec((str(tmp_path / "b"),))
     spark.sql("SELECT 1 AS id, 'x' AS name").write.parquet(a.location("t"))
@@ -171,6 +199,33 @@ def test_sync(spark, tmp_path, fmt):
     assert back.where("at <> segment_id % 3").isEmpty()
 
 
+def test_the_array_write_example(spark, tmp_path):
+    source = spark.createDataFrame(
+        [
+            ("234", ["d,d", None, "c,r"]),
+            ("456", ["d,f", None, "adfw"]),
+            ("789", []),
+            ("790", None),
+        ],
+        "owner string, items array<string>",
+    )
+    shards = file_cluster(str(tmp_path), 3)
+    back = sync_table(
+        source,
+        shards,
+        "events",
+        keys=["owner"],
+        n_segments=6,
+        where=F.size("items") > 0,
+        fmt="lines",
+    )
+    assert bag(back.drop("segment_id")) == Counter(
+        [("234", ("d,d", None, "c,r")), ("456", ("d,f", None, "adfw"))]
+    )
+    lines = spark.read.text(f"{tmp_path}/events").select(F.split("value", "\t")[2]).collect()
+    assert sorted(r[0] for r in lines) == ["['d,d',NULL,'c,r']", "['d,f',NULL,'adfw']"]
+
+
 @pytest.mark.parametrize(
     "bad",
     [
@@ -178,7 +233,6 @@ def test_sync(spark, tmp_path, fmt):
         dict(fmt="csv"),
         dict(layout="odd"),
         dict(batch_size=-1),
-        dict(max_writers=0),
         dict(segment_column="absent"),
         dict(shards=[]),
     ],
