@@ -15,8 +15,11 @@ _BAD = "_corrupt_record"
 
 
 def parse_json_text(c: Column, data_type: T.DataType | str) -> Column:
-    """JSON text to a map, array or struct; empty or malformed text gives NULL."""
+    """JSON text to a map, array, struct or variant; empty or malformed text gives
+    NULL."""
     t = as_type(data_type)
+    if isinstance(t, T.VariantType):
+        return F.try_parse_json(F.nullif(c, F.lit("")))
     if not isinstance(t, T.StructType):
         return F.from_json(c, t.simpleString())
     # a struct parse would hide malformed text behind a row of NULL fields
@@ -26,11 +29,6 @@ def parse_json_text(c: Column, data_type: T.DataType | str) -> Column:
     return F.when(row.isNotNull() & row[_BAD].isNull() & (c != ""), fields)
 
 
-def parse_json_tree(c: Column) -> Column:
-    """JSON text to a variant; empty or malformed text gives NULL."""
-    return F.try_parse_json(F.nullif(c, F.lit("")))
-
-
 def json_text(schema: T.StructType, cols: list[str]) -> Column:
     """Columns of a DataFrame with this schema as one JSON object text, NULL
     fields kept."""

@@ -57,7 +57,7 @@ def plan_batches(
         )
         warm = _ranked_by_range(df.join(hot_key, same, "left_semi"), key, order, ranges)
         ranked = cold.unionByName(warm)
-    batch = F.floor((F.col(_RANK) - 1) / F.lit(size)).cast("bigint")
+    batch = F.call_function("div", F.col(_RANK) - 1, F.lit(size))
     return ranked.withColumn(out, batch).drop(_RANK)
 
 
@@ -67,10 +67,11 @@ def _ranked(df: DataFrame, groups, order) -> DataFrame:
 
 
 def _ranked_by_range(df: DataFrame, key: str, order, ranges: int) -> DataFrame:
-    # the tie-break lets equal order values fall into several ranges
-    tied = df.withColumn(_TIE, F.monotonically_increasing_id())
+    # the tie-break lets equal order values fall into several ranges; it and the
+    # range of a row are written down, so that a task that runs again, and both
+    # readers below, see the same ones
+    tied = stage(df.withColumn(_TIE, F.monotonically_increasing_id()), "batch-rows")
     cut = tied.repartitionByRange(ranges, column(key), *order, F.col(_TIE))
-    # the range of a row is written down: both readers below must see the same one
     runs = stage(cut.withColumn(_RUN, F.spark_partition_id()), "batch-runs")
     sizes = runs.groupBy(column(key).alias("_run_key"), F.col(_RUN).alias("_run_no")).agg(
         F.count("*").alias(_N)
@@ -82,7 +83,8 @@ def _ranked_by_range(df: DataFrame, key: str, order, ranges: int) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     shift = sizes.withColumn(_BEFORE, F.coalesce(F.sum(_N).over(earlier), F.lit(0)))
-    ranked = _ranked(runs, [column(key), F.col(_RUN)], [*order, F.col(_TIE)])
+    spread = runs.repartition(ranges, column(key), F.col(_RUN))
+    ranked = _ranked(spread, [column(key), F.col(_RUN)], [*order, F.col(_TIE)])
     matched = ranked.join(
         shift.drop(_N),
         column(key).eqNullSafe(F.col("_run_key")) & (F.col(_RUN) == F.col("_run_no")),

@@ -103,8 +103,9 @@ def decode_row(
 def json_column(
     df: DataFrame, col: str, schema: T.DataType | str, out: str
 ) -> DataFrame:
-    """Add the JSON text of ``col`` as a map, array or struct."""
-    return df.withColumn(out, parse_json_text(column(col), schema))
+    """Add the JSON text (or UTF-8 bytes) of ``col`` as a map, array, struct or
+    variant; empty or malformed text gives NULL."""
+    return df.withColumn(out, parse_json_text(column(col).cast("string"), schema))
 
 
 def json_pack(

@@ -27,12 +27,13 @@ TIMESTAMP_LITERALS = {
     "spark": "timestamp_ntz'{}'",
     "sqlserver": "'{}'",
 }
-# The word in a product name that tells the family.
+# The word in a product name or JDBC URL that tells the family.
 PRODUCT_WORDS = {
     "MICROSOFT": "sqlserver",
     "MYSQL": "mysql",
     "ORACLE": "oracle",
     "S3 SELECT": "s3select",
+    "SQLSERVER": "sqlserver",
 }
 DIALECTS = tuple(DATE_LITERALS)
 
@@ -40,7 +41,7 @@ _BACKTICK = {"mysql", "spark"}  # quote identifiers with ` and read \ as an esca
 
 
 def dialect_for(product: str) -> str:
-    """Family of a database product name; ``ansi`` when no word is known."""
+    """Family of a database product name or URL; ``ansi`` when no word is known."""
     upper = product.upper()
     return next((d for word, d in PRODUCT_WORDS.items() if word in upper), "ansi")
 

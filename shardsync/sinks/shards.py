@@ -15,7 +15,7 @@ from shardsync.operators.schema import check_sink_schema, column
 from shardsync.operators.staging import staged_once
 from shardsync.operators.tables import encode_row, encode_table
 from shardsync.sources.named_query import is_named_query
-from shardsync.sources.shards import FORMATS, ShardSpec, common_root
+from shardsync.sources.shards import FORMATS, ShardSpec, all_jdbc, common_root
 
 # Up to this many shards a task writes one file per shard without a shuffle.
 DIRECT_SHARDS = 16
@@ -52,8 +52,7 @@ def write_sharded(
     """
     if is_named_query(table):
         raise ValueError("a named query cannot be written to")
-    if not shards:
-        raise ValueError("there must be at least one shard")
+    jdbc = all_jdbc(shards)
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}, not {fmt!r}")
     if layout not in LAYOUTS:
@@ -67,7 +66,7 @@ def write_sharded(
     routed = route(df, len(shards), segment_column, keyed)
     routed = routed.select(*map(column, names), SHARD)
 
-    if shards[0].is_jdbc:
+    if jdbc:
         _write_jdbc(routed, shards, table, mode, size, max_writers, shards_at_once, options)
         return
     if fmt == "lines":

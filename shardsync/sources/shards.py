@@ -19,6 +19,7 @@ from shardsync.operators.fragments import assign_fragment, keep_fragments
 from shardsync.operators.routing import SHARD
 from shardsync.operators.schema import align_schema, column
 from shardsync.operators.tables import decode_row
+from shardsync.plans.dialects import dialect_for
 from shardsync.plans.fragments import FragmentSpec
 
 DEFAULT_FETCH = 100_000
@@ -85,6 +86,16 @@ def common_root(shards: Sequence[ShardSpec], table: str) -> str | None:
     return root if same else None
 
 
+def all_jdbc(shards: Sequence[ShardSpec]) -> bool:
+    """Whether these shards are databases; they must all be of one sort."""
+    kinds = {s.is_jdbc for s in shards}
+    if not kinds:
+        raise ValueError("there must be at least one shard")
+    if len(kinds) > 1:
+        raise ValueError("shards are either all JDBC URLs or all directories")
+    return kinds.pop()
+
+
 def jdbc_options(options: dict | None = None) -> dict[str, str]:
     """JDBC read options; timestamps come back without a zone, as declared."""
     merged = {"fetchsize": DEFAULT_FETCH, "preferTimestampNTZ": "true", **(options or {})}
@@ -124,24 +135,25 @@ def read_sharded(
     shard_column: str | None = None,
     fmt: str = "parquet",
     options: dict | None = None,
-    dialect: str = "ansi",
+    dialect: str | None = None,
     quote: bool = True,
 ) -> DataFrame:
     """All shards of a table, columns matched by name.
 
     With a ``plan``, a JDBC shard is read by one task per fragment; files are cut
     by Spark itself. ``fragments`` keeps some fragments only (pushed to the scan),
-    ``fragment_column`` and ``shard_column`` add where a row came from.
+    ``fragment_column`` and ``shard_column`` add where a row came from. The
+    ``dialect`` of JDBC predicates follows from the URL unless it is given.
     """
-    if not shards:
-        raise ValueError("there must be at least one shard")
+    jdbc = all_jdbc(shards)
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}, not {fmt!r}")
     if plan is None and (fragments is not None or fragment_column):
         raise ValueError("fragments need a plan")
     schema = as_schema(schema) if schema is not None else None
     chosen = None if fragments is None else sorted(set(fragments))
-    if any(s.is_jdbc for s in shards):
+    if jdbc:
+        dialect = dialect or dialect_for(shards[0].primary)
         frames = [
             spark.read.jdbc(
                 s.primary,

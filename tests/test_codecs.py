@@ -272,6 +272,13 @@ def test_json(spark):
     assert lists[0].l == [{"a": "1"}, {"b": "2"}] and lists[1].l is None
 
 
+def test_json_bytes(spark):
+    df = spark.createDataFrame([(bytearray('{"b":1,"a":"é"}'.encode()),)], "j binary")
+    parsed = json_column(df, "j", "map<string,string>", "m")
+    entries = parsed.select(F.map_entries("m")).first()[0]
+    assert [tuple(e) for e in entries] == [("b", "1"), ("a", "é")]
+
+
 def test_json_pack(spark):
     df = spark.sql(
         "SELECT date'2020-01-02' AS d, timestamp_ntz'2020-01-02 03:04:05.6' AS t, "
