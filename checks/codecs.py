@@ -207,8 +207,8 @@ def array_decode_int(spark, sf_dir):
 
 @check(
     """
-    SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS e0,
-           CAST(CAST(l_shipdate AS DATE) + INTERVAL 30 DAY AS DATE) AS e1,
+    SELECT l_orderkey, l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS e0,
+           CAST(CAST(CAST(l_shipdate AS DATE) + INTERVAL 30 DAY AS DATE) AS VARCHAR) AS e1,
            l_linenumber = 1 AS no_e2
     FROM lineitem
     """
@@ -218,8 +218,8 @@ def array_decode_date(spark, sf_dir):
     return through_text(dates(spark, sf_dir)).select(
         "l_orderkey",
         "l_linenumber",
-        a[0].alias("e0"),
-        a[1].alias("e1"),
+        a[0].cast("string").alias("e0"),
+        a[1].cast("string").alias("e1"),
         a[2].isNull().alias("no_e2"),
     )
 
@@ -278,8 +278,9 @@ def array_decode_bool(spark, sf_dir):
 
 @check(
     """
-    SELECT l_orderkey, l_linenumber, CAST(l_extendedprice AS DECIMAL(18,6)) AS e0,
-           true AS no_e1, CAST(l_discount AS DECIMAL(18,6)) AS e2
+    SELECT l_orderkey, l_linenumber,
+           CAST(CAST(l_extendedprice AS DECIMAL(18,6)) AS VARCHAR) AS e0,
+           true AS no_e1, CAST(CAST(l_discount AS DECIMAL(18,6)) AS VARCHAR) AS e2
     FROM lineitem
     """
 )
@@ -288,9 +289,9 @@ def array_decode_decimal(spark, sf_dir):
     return through_text(prices(spark, sf_dir)).select(
         "l_orderkey",
         "l_linenumber",
-        a[0].alias("e0"),
+        a[0].cast("string").alias("e0"),
         a[1].isNull().alias("no_e1"),
-        a[2].alias("e2"),
+        a[2].cast("string").alias("e2"),
     )
 
 

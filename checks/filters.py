@@ -13,7 +13,7 @@ def summary(df, price):
 def line_sql(where: str) -> str:
     return f"""
     SELECT count(*) AS n_rows,
-           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
+           CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM lineitem WHERE {where}
     """
 
@@ -127,7 +127,7 @@ def filter_residual(spark, sf_dir):
 @check(
     """
     SELECT CAST(2 + (o_orderkey - 1000) // 2500 AS INTEGER) AS fragment_id, count(*) AS n_rows,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM orders
     WHERE o_orderstatus = 'F' AND o_orderkey >= 3500 AND o_orderkey < 8500 GROUP BY 1
     """

@@ -38,5 +38,5 @@ def table(spark: SparkSession, sf_dir: str, name: str, **options) -> DataFrame:
 
 
 def money(c: Column) -> Column:
-    """Exact sums: a double of two digits as a decimal."""
-    return F.sum(c.cast("decimal(18,2)")).cast("decimal(38,2)")
+    """Sum that does not depend on the order of the rows: added up as decimals."""
+    return F.sum(c.cast("decimal(18,2)")).cast("double")

@@ -49,7 +49,7 @@ def route_by_segment(spark, sf_dir):
 
 ORDER_TOTALS = """
     SELECT count(*) AS n_rows,
-           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM orders
 """
 

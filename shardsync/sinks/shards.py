@@ -61,6 +61,8 @@ def write_sharded(
         max_writers = df.sparkSession.sparkContext.defaultParallelism
     size = None if batch_size is None else batch_size_or_error(batch_size)
     names = list(columns) if columns is not None else df.columns
+    if SHARD in names:
+        raise ValueError(f"the column name {SHARD} is taken by the shard number")
     check_sink_schema(df.select(*map(column, names)).schema)
     # routed before the projection: the segment column need not be written
     routed = route(df, len(shards), segment_column, keyed)

@@ -234,6 +234,7 @@ def test_the_array_write_example(spark, tmp_path):
         dict(layout="odd"),
         dict(batch_size=-1),
         dict(segment_column="absent"),
+        dict(columns=["id", "_shard"]),
         dict(shards=[]),
     ],
 )
