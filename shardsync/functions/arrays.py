@@ -45,7 +45,7 @@ def decode_array(
     if isinstance(t, TEXT):
         items = _host_items(c)
     else:
-        items = _plain_items(c, '"').try_cast(T.ArrayType(t))
+        items = _plain_items(c, '"', t)
     return F.when(F.length(c) > 2, items) if empty_as_null else items
 
 
@@ -75,7 +75,7 @@ def decode_sink_array(
     if isinstance(t, TEXT):
         items = F.transform(_tokens(c, _SINK_TOKEN), lambda x: _item(x, "'", unescape_text))
     else:
-        items = _plain_items(c, "'").try_cast(T.ArrayType(t))
+        items = _plain_items(c, "'", t)
     return F.when(F.length(c) > 2, items) if empty_as_null else items
 
 
@@ -87,10 +87,10 @@ def to_sink_array(c: Column, elem_type: T.DataType | str) -> Column:
     if isinstance(t, TEXT):
         items = F.transform(_host_items(c), lambda x: _quoted(_sink_escape(x), "'"))
     elif isinstance(t, T.BooleanType):
-        flags = _plain_items(c, '"').try_cast("array<boolean>")
+        flags = _plain_items(c, '"', t)
         items = flags.cast("array<tinyint>").cast("array<string>")
     else:
-        items = F.transform(_plain_items(c, '"'), lambda x: _quoted(x, "'"))
+        items = F.transform(_plain_items(c, '"', "string"), lambda x: _quoted(x, "'"))
     text = F.concat(F.lit("["), F.array_join(items, ",", "NULL"), F.lit("]"))
     return F.when(c != "{}", text)
 
@@ -116,13 +116,14 @@ def _not_null_word(x: Column) -> Column:
     return F.when(F.upper(x) != "NULL", x)
 
 
-def _plain_items(c: Column, quote: str) -> Column:
-    """Element texts of a literal whose elements hold no comma and no quote.
+def _plain_items(c: Column, quote: str, data_type: T.DataType | str) -> Column:
+    """Elements of a literal whose texts hold no comma and no quote.
 
-    The word NULL is taken out here, as a cast of text that does not parse costs an
+    The word NULL is taken out before the cast, as text that does not parse costs an
     exception."""
     bare = F.replace(_body(c), F.lit(quote), F.lit(""))
-    return F.transform(F.array_remove(F.split(bare, ","), ""), _not_null_word)
+    texts = F.array_remove(F.split(bare, ","), "")
+    return F.transform(texts, lambda x: _not_null_word(x).try_cast(data_type))
 
 
 def _wrapped(
