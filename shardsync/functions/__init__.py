@@ -1,5 +1,6 @@
 from shardsync.functions.arrays import (
     decode_array,
+    decode_literal,
     decode_sink_array,
     encode_array,
     encode_sink_array,
@@ -23,6 +24,7 @@ __all__ = [
     "bool_text",
     "bytes_text",
     "decode_array",
+    "decode_literal",
     "decode_sink_array",
     "encode_array",
     "encode_sink_array",

@@ -79,6 +79,13 @@ def decode_sink_array(
     return F.when(F.length(c) > 2, items) if empty_as_null else items
 
 
+def decode_literal(c: Column, elem_type: T.DataType | str) -> Column:
+    """Typed array from either spelling, told apart by the opening bracket."""
+    return F.when(F.startswith(c, F.lit("[")), decode_sink_array(c, elem_type)).otherwise(
+        decode_array(c, elem_type)
+    )
+
+
 def to_sink_array(c: Column, elem_type: T.DataType | str) -> Column:
     """Host literal to sink literal; ``{}`` becomes NULL."""
     t = element_type(elem_type)
@@ -153,6 +160,7 @@ def _sink_escape(x: Column) -> Column:
 
 __all__ = [
     "decode_array",
+    "decode_literal",
     "decode_sink_array",
     "encode_array",
     "encode_sink_array",

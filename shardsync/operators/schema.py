@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsync.functions.arrays import decode_array
+from shardsync.functions.arrays import decode_literal
 from shardsync.functions.text import parse_scalar
 from shardsync.functions.types import ELEMENTS, SCALARS, TEXT, as_schema
 from shardsync.plans.dialects import quote_ident
@@ -54,7 +54,7 @@ def _coerced(c: Column, have: T.DataType, want: T.DataType, lenient: bool) -> Co
         return c
     if isinstance(have, TEXT):
         if isinstance(want, T.ArrayType):
-            return decode_array(c, want.elementType)
+            return decode_literal(c, want.elementType)
         if isinstance(want, T.BinaryType):
             return c.cast(want)
         if lenient:

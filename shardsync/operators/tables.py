@@ -28,12 +28,15 @@ LINE = "value"
 _CELLS = "_cells"
 
 
-def encode_table(df: DataFrame, empty_as_null: bool = True) -> DataFrame:
-    """Array columns as host literals, all others unchanged."""
+def encode_table(
+    df: DataFrame, empty_as_null: bool = True, sink: bool = False
+) -> DataFrame:
+    """Array columns as host literals (or ``sink`` literals), all others unchanged."""
     check_sink_schema(df.schema)
+    encode = encode_sink_array if sink else encode_array
     return df.select(
         *(
-            encode_array(column(f.name), f.dataType.elementType, empty_as_null).alias(f.name)
+            encode(column(f.name), f.dataType.elementType, empty_as_null).alias(f.name)
             if isinstance(f.dataType, T.ArrayType)
             else column(f.name)
             for f in df.schema
@@ -42,7 +45,8 @@ def encode_table(df: DataFrame, empty_as_null: bool = True) -> DataFrame:
 
 
 def decode_table(df: DataFrame, schema: T.StructType | str) -> DataFrame:
-    """Host literals and text to the declared types; bad values become NULL."""
+    """Literals of either spelling and other text to the declared types; bad values
+    become NULL."""
     return align_schema(df, schema, lenient=True)
 
 

@@ -118,8 +118,8 @@ def jdbc_write_options(
 
 
 def _write_jdbc(routed, shards, table, mode, size, max_writers, at_once, options) -> None:
-    # a JDBC column holds no array: arrays travel as literals
-    flat = encode_table(routed)
+    # Spark binds no array to a JDBC column: arrays travel as the shard's literals
+    flat = encode_table(routed, sink=True)
     properties = jdbc_write_options(size, max_writers, options)
 
     def write(i: int, rows: DataFrame) -> None:

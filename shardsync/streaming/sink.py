@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shardsync.operators.routing import SEGMENT
+from shardsync.operators.routing import SEGMENT, SHARD
+from shardsync.operators.tables import decode_row
 from shardsync.sinks.shards import write_sharded
 from shardsync.sources.shards import ShardSpec, file_cluster
 
@@ -52,8 +54,17 @@ def write_stream_sharded(
 
 
 def read_stream_sink(
-    spark: SparkSession, target: str, table: str, fmt: str = "parquet"
+    spark: SparkSession,
+    target: str,
+    table: str,
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """What :func:`write_stream_sharded` has written to a directory target, with
-    the columns ``batch`` and ``_shard``."""
-    return spark.read.format(fmt).load(f"{target.rstrip('/')}/{table}")
+    the columns ``batch`` and ``_shard``. Lines need their ``schema``."""
+    path = f"{target.rstrip('/')}/{table}"
+    if fmt == "lines":
+        if schema is None:
+            raise ValueError("lines are read with a declared schema")
+        return decode_row(spark.read.text(path, lineSep="\n"), schema, keep=(BATCH, SHARD))
+    return spark.read.format(fmt).load(path)

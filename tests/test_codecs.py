@@ -205,9 +205,10 @@ def test_a_table_survives_lines(spark):
     assert decode_row(lines, df.schema).collect() == df.collect()
 
 
-def test_a_table_survives_literals(spark):
+@pytest.mark.parametrize("sink", [False, True])
+def test_a_table_survives_literals(spark, sink):
     df = everything(spark)
-    text = encode_table(df)
+    text = encode_table(df, sink=sink)
     assert dict(text.dtypes)["ax"] == "string"
     assert decode_table(text, df.schema).collect() == df.collect()
 

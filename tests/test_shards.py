@@ -310,7 +310,7 @@ def test_jdbc_write_sends_each_shard_its_rows_as_literals(spark, monkeypatch):
     assert sum(len(v[0]) for v in got.values()) == 60
     for i, shard in enumerate(shards):
         sent, dtypes, table, mode, properties = got[shard.primary]
-        assert all(r.segment_id % 3 == i and r.a == f"{{{r.id},NULL}}" for r in sent)
+        assert all(r.segment_id % 3 == i and r.a == f"[{r.id},NULL]" for r in sent)
         assert dict(dtypes)["a"] == "string" and "_shard" not in dict(dtypes)
         assert (table, mode) == ("t", "append")
         assert properties == {"batchsize": "1", "numPartitions": "4"}
@@ -388,6 +388,19 @@ def test_stream_arrives_once_even_when_replayed(spark, tmp_path):
         assert back.where("_shard <> segment_id % 3").isEmpty()
 
 
+def test_stream_of_lines(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    rows(spark).write.parquet(source)
+    write_stream_sharded(
+        stream_of(spark, source), target, "t", str(tmp_path / "c"), n_shards=3, fmt="lines"
+    ).awaitTermination()
+    back = read_stream_sink(spark, target, "t", "lines", rows(spark).schema)
+    assert bag(back.drop("batch", "_shard")) == bag(rows(spark))
+    assert back.where("_shard <> segment_id % 3").isEmpty()
+    with pytest.raises(ValueError):
+        read_stream_sink(spark, target, "t", "lines")
+
+
 def test_stream_to_separate_shards(spark, tmp_path):
     source = str(tmp_path / "in")
     rows(spark).write.parquet(source)
