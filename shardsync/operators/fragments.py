@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,7 +50,7 @@ def _date_step(spec: FragmentSpec, day: Column) -> Column:
     guess = _div(F.year(day) * 12 + F.month(day) - first, months)
     # bound number ``guess`` lies in the month of the day or before it, so the
     # day is in that step or, when it comes before the bound, in the one below
-    bound = F.get(F.array(*map(F.lit, spec.bounds())), guess.cast("int"))
+    bound = F.get(F.array(*map(F.lit, spec.bounds)), guess.cast("int"))
     return guess - F.when(day < bound, 1).otherwise(0)
 
 
@@ -82,14 +84,8 @@ def keep_fragments(
     df: DataFrame, spec: FragmentSpec, numbers: Sequence[int]
 ) -> DataFrame:
     """Rows of the chosen fragments, as a filter the scan can push down."""
-    wanted = set(numbers)
-    picked = [f.to_column() for f in spec.fragments() if f.number in wanted]
-    if len(picked) != len(wanted):
-        raise ValueError(f"the plan has fragments 0..{spec.null_number}")
-    condition = F.lit(False)
-    for p in picked:
-        condition = condition | p
-    return df.where(condition)
+    picked = (spec.fragment(n).to_column() for n in sorted(set(numbers)))
+    return df.where(reduce(or_, picked, F.lit(False)))
 
 
 def _text(bound) -> str | None:

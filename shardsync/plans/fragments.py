@@ -16,7 +16,7 @@ import datetime as dt
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from operator import and_
 
 from pyspark.sql import Column
@@ -85,20 +85,17 @@ class FragmentSpec:
     unit: str | None = None
     values: tuple[str, ...] = ()
 
+    @cached_property
     def bounds(self) -> list[dt.date]:
         """Step bounds of a date spec, start and end included."""
         return date_bounds(self.start, self.end, self.step, self.unit)
 
     @property
     def steps(self) -> int:
-        """Number of pieces between the start and the end."""
+        """Number of pieces between the start and the end, or of listed values."""
         if self.kind == "int":
             return -((self.start - self.end) // self.step)
-        if self.kind == "enum":
-            return len(self.values)
-        if self.unit == "day":
-            return -((self.start - self.end).days // self.step)
-        return len(self.bounds()) - 1
+        return len(self.values) if self.kind == "enum" else len(self.bounds) - 1
 
     @property
     def null_number(self) -> int:
@@ -107,25 +104,27 @@ class FragmentSpec:
     def __len__(self) -> int:
         return self.null_number + 1
 
-    def fragments(self) -> Iterator[Fragment]:
+    def fragment(self, number: int) -> Fragment:
+        if not 0 <= number <= self.null_number:
+            raise ValueError(f"the plan has fragments 0..{self.null_number}, not {number}")
+        if number == self.null_number:
+            return Fragment(number, "null", self.column)
         if self.kind == "enum":
-            for i, v in enumerate(self.values):
-                yield Fragment(i, "value", self.column, values=(v,))
-            yield Fragment(len(self.values), "rest", self.column, values=self.values)
-        else:
-            yield Fragment(0, "low", self.column, hi=self.start)
-            yield Fragment(1, "high", self.column, lo=self.end)
-            for i, (lo, hi) in enumerate(self._ranges()):
-                yield Fragment(i + 2, "range", self.column, lo, hi)
-        yield Fragment(self.null_number, "null", self.column)
-
-    def _ranges(self):
+            if number == self.steps:
+                return Fragment(number, "rest", self.column, values=self.values)
+            return Fragment(number, "value", self.column, values=(self.values[number],))
+        if number == 0:
+            return Fragment(number, "low", self.column, hi=self.start)
+        if number == 1:
+            return Fragment(number, "high", self.column, lo=self.end)
         if self.kind == "int":
-            for lo in range(self.start, self.end, self.step):
-                yield lo, min(lo + self.step, self.end)
-        else:
-            b = self.bounds()
-            yield from zip(b, b[1:])
+            lo = self.start + (number - 2) * self.step
+            return Fragment(number, "range", self.column, lo, min(lo + self.step, self.end))
+        lo, hi = self.bounds[number - 2 : number]
+        return Fragment(number, "range", self.column, lo, hi)
+
+    def fragments(self) -> Iterator[Fragment]:
+        return map(self.fragment, range(len(self)))
 
 
 def fragments_int(column: str, start: int, end: int, step: int) -> FragmentSpec:

@@ -17,8 +17,9 @@ from shardsync.operators.tables import encode_row, encode_table
 from shardsync.sources.named_query import is_named_query
 from shardsync.sources.shards import FORMATS, ShardSpec, all_jdbc, common_root
 
-# Up to this many shards a task writes one file per shard without a shuffle.
-DIRECT_SHARDS = 16
+# Up to this many shards a task writes one file per shard without a shuffle; with
+# more of them the files of an input split would get too small.
+DIRECT_SHARDS = 4
 LAYOUTS = ("auto", "direct", "rebalance")
 
 
@@ -68,12 +69,12 @@ def write_sharded(
     routed = route(df, len(shards), segment_column, keyed)
     routed = routed.select(*map(column, names), SHARD)
 
+    if fmt == "lines" and not jdbc:
+        routed = encode_row(routed, keep=(SHARD,))
+    routed = _laid_out(routed, len(shards), layout, keyed)
     if jdbc:
         _write_jdbc(routed, shards, table, mode, size, max_writers, shards_at_once, options)
         return
-    if fmt == "lines":
-        routed = encode_row(routed, keep=(SHARD,))
-    routed = _laid_out(routed, len(shards), layout, keyed)
     root = common_root(shards, table)
     if root is not None:
         routed = _capped(routed, max_writers)

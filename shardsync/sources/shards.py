@@ -114,12 +114,8 @@ def jdbc_predicates(
     """One predicate, hence one Spark partition, per fragment."""
     if spec is None:
         return None
-    wanted = None if numbers is None else set(numbers)
-    return [
-        f.to_predicate(dialect, quote)
-        for f in spec.fragments()
-        if wanted is None or f.number in wanted
-    ]
+    chosen = range(len(spec)) if numbers is None else sorted(set(numbers))
+    return [spec.fragment(n).to_predicate(dialect, quote) for n in chosen]
 
 
 def read_sharded(
@@ -151,7 +147,7 @@ def read_sharded(
     if plan is None and (fragments is not None or fragment_column):
         raise ValueError("fragments need a plan")
     schema = as_schema(schema) if schema is not None else None
-    chosen = None if fragments is None else sorted(set(fragments))
+    chosen = None if fragments is None else list(fragments)
     if jdbc:
         dialect = dialect or dialect_for(shards[0].primary)
         frames = [

@@ -74,6 +74,13 @@ def test_year_plan_counts():
     assert spec.steps == 7
 
 
+def test_one_fragment_of_a_huge_plan():
+    spec = fragments_int("k", 0, 2**62, 1)
+    assert spec.fragment(2**61).to_predicate() == f'"k" >= {2**61 - 2} AND "k" < {2**61 - 1}'
+    with pytest.raises(ValueError):
+        spec.fragment(-1)
+
+
 def test_enum_plan():
     spec = parse_fragment_spec("p:enum", "1-URGENT:2-HIGH")
     assert predicates(spec) == [

@@ -5,7 +5,14 @@ import pytest
 import __spark_entry__ as contract
 from checks.registry import table
 from pyspark.sql import functions as F
-from shardsync import assign_fragment, keep_fragments, parse_fragment_spec
+from shardsync import (
+    assign_fragment,
+    file_cluster,
+    keep_fragments,
+    parse_fragment_spec,
+    read_sharded,
+    write_sharded,
+)
 
 NEVER = ("BroadcastNestedLoopJoin", "CartesianProduct", "Python", "Pandas", "Arrow")
 
@@ -45,6 +52,16 @@ def test_only_needed_columns_are_read(spark, sf_dir):
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
 
 
+def test_shards_and_filters_prune_the_scan(spark, sf_dir, tmp_path):
+    shards = file_cluster(str(tmp_path), 3)
+    orders = table(spark, sf_dir, "orders").withColumn("segment_id", F.col("o_custkey"))
+    write_sharded(orders, shards, "t")
+    df = read_sharded(spark, shards, "t", shard_column="at").where("at = 1 AND o_orderkey = 5")
+    plan = plan_of(df)
+    assert "_shard#" in plan.split("PartitionFilters:")[1] and " = 1)" in plan
+    assert "EqualTo(o_orderkey,5)" in plan
+
+
 def test_fragment_numbers_need_no_shuffle(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     for spec in (
