@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from functools import reduce
 from operator import or_
 
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardsync.plans.dialects import quote_ident
-from shardsync.plans.fragments import FragmentSpec
+from shardsync.plans.fragments import Fragment, FragmentSpec
 
 PLAN_SCHEMA = (
     "fragment_no int, kind string, lo string, hi string, predicate string, shard_no int"
@@ -84,8 +85,12 @@ def keep_fragments(
     df: DataFrame, spec: FragmentSpec, numbers: Sequence[int]
 ) -> DataFrame:
     """Rows of the chosen fragments, as a filter the scan can push down."""
-    picked = (spec.fragment(n).to_column() for n in sorted(set(numbers)))
-    return df.where(reduce(or_, picked, F.lit(False)))
+    picked: list[Fragment] = []
+    for f in map(spec.fragment, sorted(set(numbers))):
+        if picked and f.kind == picked[-1].kind == "range" and picked[-1].hi == f.lo:
+            f = replace(picked.pop(), hi=f.hi)  # neighbours make one range
+        picked.append(f)
+    return df.where(reduce(or_, (f.to_column() for f in picked), F.lit(False)))
 
 
 def _text(bound) -> str | None:

@@ -201,6 +201,9 @@ def test_keep_fragments(spark):
         *range(4),
         *range(10, 20),
     ]
+    fine = fragments_int("k", 0, 20_000, 1)
+    many = keep_fragments(df, fine, [0, *range(2, 8), *range(10, 15_000), len(fine) - 1])
+    assert sorted(r.k for r in many.collect()) == [*range(6), *range(8, 20)]
     with pytest.raises(ValueError):
         keep_fragments(df, spec, [9])
 
