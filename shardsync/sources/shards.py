@@ -149,7 +149,8 @@ def read_sharded(
     schema = as_schema(schema) if schema is not None else None
     chosen = None if fragments is None else list(fragments)
     if jdbc:
-        dialect = dialect or dialect_for(shards[0].primary)
+        # jdbc:<database>:..., the host name must not count
+        dialect = dialect or dialect_for(shards[0].primary.split(":")[1])
         frames = [
             spark.read.jdbc(
                 s.primary,

@@ -293,6 +293,8 @@ def test_jdbc_read_is_one_task_per_fragment(spark, monkeypatch):
     assert calls[-1][2] is None
     read_sharded(spark, parse_shards("jdbc:mysql://a/db"), "t", plan=spec, fragments=[4])
     assert calls[-1][2] == ["`k` IS NULL"]
+    read_sharded(spark, parse_shards("jdbc:x://mysql-host/db"), "t", plan=spec, fragments=[4])
+    assert calls[-1][2] == ['"k" IS NULL']
     for mixed in (read_sharded, lambda s, *a: write_sharded(rows(s), *a)):
         with pytest.raises(ValueError):
             mixed(spark, [*shards, ShardSpec(("/x",))], "t")
