@@ -11,6 +11,8 @@ from shardsync.functions.types import TEXT, TIMES, as_type
 # The null marker and the escaped characters of a text line.
 NULL_MARK = "\\N"
 ESCAPES = {"\t": "\\t", "\n": "\\n", "\r": "\\r"}
+# Escapes that other writers of such lines use as well.
+READ_ESCAPES = {**ESCAPES, "\b": "\\b", "\f": "\\f", "\0": "\\0"}
 
 
 def escape_text(c: Column) -> Column:
@@ -25,7 +27,7 @@ def unescape_text(c: Column) -> Column:
     """Inverse of :func:`escape_text`; also drops the backslash before a quote."""
 
     def piece(p: Column) -> Column:
-        for char, code in ESCAPES.items():
+        for char, code in READ_ESCAPES.items():
             p = F.replace(p, F.lit(code), F.lit(char))
         return F.replace(p, F.lit("\\"), F.lit(""))
 

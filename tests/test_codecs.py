@@ -178,6 +178,11 @@ def test_text_cells_survive(spark):
     assert all(r.v == r.u and not r.raw for r in rows.collect())
 
 
+def test_escapes_of_other_writers(spark):
+    cell = r"a\bb\fc\0d\'e\\\n\\n"
+    assert one(spark, cell, "string", unescape_text) == "a\bb\fc\0d'e\\\n\\n"
+
+
 EVERYTHING = """
     b byte, h short, i int, l bigint, f float, d double, n decimal(20,6), t string, o boolean,
     day date, at timestamp_ntz, raw binary, ai array<int>, at2 array<timestamp_ntz>,
