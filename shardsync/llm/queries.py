@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsync.llm.common import ship_package
+from shardsync.llm.common import held_out, ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +36,37 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ordinal", "start")
 
 
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.language import identify
+
+    docs = _table(spark, sf_dir, "documents")
+    outside = held_out(F.col("doc_id")).alias("held_out")
+    return identify(docs, keep=("doc_id", outside))
+
+
+@query
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.dedup import exact_dedup
+
+    found = exact_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE["op6_exact_dedup"] = """
+WITH d AS (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), g AS (
+    SELECT doc_id, sha256(t) AS text_sha256, max(doc_id) OVER (PARTITION BY t) AS keep_id,
+           count(*) OVER (PARTITION BY t) AS group_size
+    FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+"""
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.packing import pack_documents
