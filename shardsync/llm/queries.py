@@ -67,6 +67,13 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
 """
 
 
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.neardup import near_dedup
+
+    return near_dedup(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.packing import pack_documents
