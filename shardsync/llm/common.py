@@ -14,6 +14,7 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def located(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """``columns`` and the content locator ``at``: file and row in it. A table that is
+    no file scan, and so has no places of its own, is written first."""
+    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        return docs.select(*columns, at.alias("at"))
+    except AnalysisException:
+        return written(docs, "located").select(*columns, at.alias("at"))
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z in lower case, other letters as they are. Plain ASCII takes the fast way."""
     ascii_only = F.octet_length(c) == F.char_length(c)

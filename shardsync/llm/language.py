@@ -224,8 +224,12 @@ def predict_language(
     the code lengths, brought down to ``evidence`` bytes, are taken for
     probabilities. Rows that repeat come out as often as they came in."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col("text").alias("__text"))
-    n_keep = len(rows.columns) - 1
+    rows = docs.select(*keep)
+    n_keep = len(rows.columns)
+    if "text" in rows.columns:
+        at = rows.columns.index("text")
+    else:
+        rows, at = docs.select(*keep, "text"), n_keep
     kind = T.StructType(
         [
             *rows.schema[:n_keep],
@@ -238,7 +242,7 @@ def predict_language(
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            texts = batch.column(n_keep)
+            texts = batch.column(at)
             made = [_judge(model, evidence, texts[lo:hi], d, o) for lo, hi, d, o in pieces_of(texts, 1 << 19)]
             lang, score, each = (
                 [x for part in made for x in part[k]] for k in range(3)

@@ -74,6 +74,54 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.mixing import plan_mix
+
+    return plan_mix(_table(spark, sf_dir, "documents"), repeats=2.0).drop("at")
+
+
+ORACLE["op9_temperature_mixing"] = r"""
+WITH d AS (
+    SELECT doc_id, source, coalesce('=' || source, '') AS name,
+           coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n_tokens,
+           ('0x' || substr(md5('0:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+    FROM documents
+), s AS (
+    SELECT name, sum(n_tokens)::BIGINT AS tokens, ((count(*) + 999) // 1000) AS blocks,
+           max(sum(n_tokens)) OVER () AS most,
+           min(CASE WHEN sum(n_tokens) > 0 THEN sum(n_tokens) END) OVER () AS least
+    FROM d GROUP BY name
+), f AS (
+    SELECT name, tokens, blocks, round(most * pow(tokens / most,
+               CASE WHEN most <= 2 * least THEN 0 ELSE 1 - ln(2) / ln(most / least) END))::BIGINT AS budget
+    FROM s
+), w AS (
+    SELECT d.*, h % blocks AS block,
+           sum(n_tokens) OVER (PARTITION BY name, h % blocks ORDER BY h, doc_id, n_tokens
+                               ROWS UNBOUNDED PRECEDING)::BIGINT - n_tokens AS before
+    FROM d JOIN f USING (name)
+), b AS (
+    SELECT name, block, sum(n_tokens)::BIGINT AS block_tokens FROM w GROUP BY name, block
+), e AS (
+    SELECT b.*, f.tokens, f.budget, unnest(range(0, budget // greatest(tokens, 1) + 1)) AS epoch
+    FROM b JOIN f USING (name)
+), o AS (
+    SELECT name, block, epoch, budget, epoch * tokens - block_tokens
+           + sum(block_tokens) OVER (
+               PARTITION BY name, epoch
+               ORDER BY ('0x' || substr(md5('0:' || epoch || ':' || name || ':' || block), 1, 15))::BIGINT,
+                        block
+               ROWS UNBOUNDED PRECEDING)::BIGINT AS first
+    FROM e
+)
+SELECT w.doc_id, w.source, o.epoch::INTEGER AS epoch, w.n_tokens, w.block,
+       o.first + w.before AS start, o.budget
+FROM w JOIN o USING (name, block)
+WHERE o.first + w.before + w.n_tokens <= o.budget
+"""
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.packing import pack_documents
