@@ -36,6 +36,28 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", "ordinal", "start")
 
 
+@query
+def op3_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.warc import archive_pages
+
+    return archive_pages(_table(spark, sf_dir, "pages")).drop("capture")
+
+
+ORACLE["op3_warc_transactions"] = """
+WITH p AS (
+    SELECT page_id, encode(coalesce(html, '')) AS b FROM pages
+), g AS (
+    SELECT page_id, octet_length(b) AS n, sha1(b) AS d,
+           CASE WHEN octet_length(b) >= 1000 THEN max(page_id) OVER (PARTITION BY b) ELSE page_id END AS keep
+    FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN keep = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN keep <> page_id THEN keep END AS refers_to
+FROM g
+"""
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.language import identify

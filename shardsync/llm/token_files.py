@@ -22,7 +22,7 @@ _MANIFEST = "doc_id long, file string, ordinal long"
 _FOUND = "file string, block long, at array<long>, tokens long"
 
 
-def _store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+def open_store(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """The file system Arrow has for a URI, and the path in it."""
     if ":" not in uri.split("/", 1)[0]:
         uri = "file://" + uri
@@ -46,7 +46,7 @@ def write_token_files(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         file = f"{folder}/tokens-{task.partitionId():05d}-{uuid.uuid4().hex}.bin"
-        store, path = _store(file)
+        store, path = open_store(file)
         most = np.iinfo(dtype).max
         n = 0
         with store.open_output_stream(path) as out:
@@ -78,7 +78,7 @@ def file_sizes(spark: SparkSession, files: DataFrame) -> DataFrame:
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column(0).to_pylist()
-            sizes = [(s := _store(x))[0].get_file_info(s[1]).size for x in names]
+            sizes = [(s := open_store(x))[0].get_file_info(s[1]).size for x in names]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64())], ["file", "n_bytes"]
             )
@@ -104,7 +104,7 @@ def scan_separators(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                store, path = _store(row["file"])
+                store, path = open_store(row["file"])
                 first = row["block"] * block_tokens
                 n = min(block_tokens, row["n_bytes"] // width - first)
                 with store.open_input_file(path) as source:
