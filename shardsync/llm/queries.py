@@ -28,6 +28,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.token_files import count_tokens
