@@ -74,6 +74,32 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, keep=("doc_id", outside))
 
 
+@query
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op5_exact_top_k"] = """
+WITH v AS (
+    SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+           vec_id, score
+    FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.dedup import exact_dedup
