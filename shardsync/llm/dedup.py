@@ -6,13 +6,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsync.llm.common import lower_ascii, tidy, work_dir, written
+from shardsync.llm.common import located, lower_ascii, tidy, work_dir, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Without space set aside beforehand, and with one bound for all stores of an executor.
+ROCKSDB_SETTINGS = {
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+}
 PARTITIONS = "spark.sql.shuffle.partitions"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
@@ -26,17 +31,6 @@ def normal_text(text: Column) -> Column:
     return lower_ascii(F.coalesce(text, F.lit("")))
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and the content locator ``at`` (file and row). A table
-    that is no file scan, and so has no places of its own, is written first."""
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), at.alias("at")]
-    try:
-        return docs.select(*columns)
-    except AnalysisException:
-        return written(docs.select("doc_id", "text"), "dedup-input").select(*columns)
-
-
 def retain(feed: DataFrame, checkpoint: str):
     """Start a stream over ``digest``, ``doc_id`` and ``at``. For each digest the
     state keeps, on disk and without expiry, the row with the largest ``doc_id``
@@ -74,15 +68,17 @@ def exact_dedup(
 
     1. Digests, ids and locators go to a table, which is streamed into keyed state
        in RocksDB (``retain``; ``files_at_once`` bounds a batch).
-    2. A digest that was met again is a hit. The text of its retained row is fetched
-       by its locator and compared, byte by byte, with each text that has the digest.
+    2. A digest that was met again is a hit. Among the rows of hits, the locator of
+       the retained one finds its text, which is compared byte by byte with every
+       other text of that digest. The texts meet the hits in one merge join: hits grow
+       with the data, so they are never sent to all executors.
     3. Texts that differ in spite of equal digests are classed by the full text.
 
     Copies of one text meet in partial aggregates first. The comparison joins them on
     the digest, where adaptive execution splits the rows of a hot one."""
     spark = docs.sparkSession
     normal = normal_text(F.col("text"))
-    rows = located(docs).select("doc_id", "at", normal.alias("normal"))
+    rows = located(docs, F.col("doc_id").cast("long").alias("doc_id"), normal.alias("normal"))
     keyed = rows.select("*", digest(F.col("normal")).alias("digest"))
 
     feed, checkpoint = (work_dir(spark, f"dedup-{x}") for x in ("feed", "state"))
@@ -90,16 +86,19 @@ def exact_dedup(
         keyed.select("digest", "doc_id", "at").write.mode("append").parquet(feed)
     hits = _hits(spark, feed, checkpoint, files_at_once)
 
-    texts = rows.select("at", F.col("normal").alias("kept_text"))
-    kept = written(hits.join(texts, hits["keep"]["at"] == texts["at"]).drop("at"), "dedup-texts")
-    same = F.coalesce(F.col("kept_text") == F.col("normal"), F.lit(True))
-    found = written(
-        keyed.join(kept, "digest", "left").select(
-            "doc_id", "at", "digest", sha256(F.col("normal")).alias("text_sha256"), "keep", "n",
-            same.alias("same"),
-        ),
-        "dedup-found",
+    text = F.when(F.col("n").isNotNull(), F.col("normal")).alias("text")
+    sha = sha256(F.col("normal")).alias("text_sha256")
+    placed = keyed.hint("merge").join(hits, "digest", "left")
+    placed = written(
+        placed.select("doc_id", "at", "digest", sha, "keep", "n", text), "dedup-placed"
     )
+    kept = placed.where(F.col("keep")["at"] == F.col("at"))
+    kept = written(kept.select("digest", F.col("text").alias("kept_text")), "dedup-texts")
+    same = F.coalesce(F.col("kept_text") == F.col("text"), F.lit(True)).alias("same")
+    columns = ["doc_id", "at", "digest", "text_sha256", "keep", "n"]
+    again = placed.where("n IS NOT NULL").join(kept, "digest").select(*columns, same)
+    alone = placed.where("n IS NULL").select(*columns, F.lit(True).alias("same"))
+    found = written(alone.unionByName(again), "dedup-found")
     differ = found.where(~F.col("same")).select("digest").distinct()
     if not differ.isEmpty():
         found = _by_text(found, rows, written(differ, "dedup-differ"))
@@ -119,6 +118,8 @@ def _hits(spark: SparkSession, feed: str, checkpoint: str, files_at_once: int |
     """Run the feed through the state; the entries of digests that came again."""
     session = spark.newSession()
     session.conf.set(PROVIDER, ROCKSDB)
+    for name, value in ROCKSDB_SETTINGS.items():
+        session.conf.set(name, value)
     session.conf.set(PARTITIONS, spark.conf.get(PARTITIONS))
     stream = session.readStream.schema(session.read.parquet(feed).schema)
     if files_at_once:
