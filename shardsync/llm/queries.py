@@ -129,6 +129,15 @@ def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.toxicity import fit, score_toxicity
+
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    found = score_toxicity(docs, fit(docs, labels))
+    return found.withColumn("held_out", held_out(F.col("doc_id")))
+
+
 @query
 def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.mixing import plan_mix
