@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsync.llm.common import located, ship_package, written
+from shardsync.llm.common import file_backed, located, ship_package, written
 from shardsync.llm.dedup import exact_dedup
 from shardsync.llm.language import UNKNOWN, fit, predict_language, training_sample
 from shardsync.llm.mixing import mix_documents
@@ -31,6 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id."""
     ship_package(spark)
+    docs = file_backed(docs)
     gone = exact_dedup(docs).where(~F.col("kept")).select("at")
     return located(docs, *docs.columns).join(gone, "at", "left_anti").select(*docs.columns)
 

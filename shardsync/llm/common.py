@@ -69,14 +69,23 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _place() -> Column:
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
+def file_backed(docs: DataFrame) -> DataFrame:
+    """``docs`` if its rows have places in files, else a written copy of it."""
+    try:
+        docs.select(_place())
+        return docs
+    except AnalysisException:
+        return written(docs, "located")
+
+
 def located(docs: DataFrame, *columns: Column | str) -> DataFrame:
     """``columns`` and the content locator ``at``: file and row in it. A table that is
     no file scan, and so has no places of its own, is written first."""
-    at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
-    try:
-        return docs.select(*columns, at.alias("at"))
-    except AnalysisException:
-        return written(docs, "located").select(*columns, at.alias("at"))
+    return file_backed(docs).select(*columns, _place().alias("at"))
 
 
 def lower_ascii(c: Column) -> Column:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardsync.llm.common import located, written
+from shardsync.llm.common import file_backed, located, written
 
 #: Sources that the driver weighs at most; more are an error, not a cut.
 MOST_SOURCES = 100_000
@@ -161,6 +161,7 @@ def plan_mix(
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents that ``plan_mix`` takes, with all their columns, each as often as
     it is taken."""
+    docs = file_backed(docs)
     taken = plan_mix(docs, **options).groupBy("at").agg(F.count("*").cast("int").alias("times"))
     names = [f"c{k}" for k in range(len(docs.columns))]
     rows = located(docs.toDF(*names), *names).join(taken, "at")

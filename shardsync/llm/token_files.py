@@ -133,7 +133,7 @@ def scan_separators(
     )
     whole = Window.partitionBy("file")
     summary = found.select(
-        "file", "block", F.size("at").cast("long").alias("n"), F.element_at("at", -1).alias("end"),
+        "file", "block", F.size("at").cast("long").alias("n"), F.try_element_at("at", F.lit(-1)).alias("end"),
         "tokens",
     )
     carried = summary.select(
@@ -146,7 +146,7 @@ def scan_separators(
     )
     joined = found.join(carried, ["file", "block"])
     ends = F.when(
-        F.col("is_last") & (F.coalesce(F.element_at("at", -1), F.col("open_from") - 1) + 1
+        F.col("is_last") & (F.coalesce(F.try_element_at("at", F.lit(-1)), F.col("open_from") - 1) + 1
                             < F.col("file_tokens")),
         F.concat("at", F.array("file_tokens")),
     ).otherwise(F.col("at"))
