@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from shardsync.llm.common import lower_ascii
 
+#: Bytes of template grams, at most, that every executor gets a copy of.
+MOST_BROADCAST = 8 << 20
 #: What separates words in a text with A-Z in lower case.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -103,7 +105,9 @@ def template_grams(spark: SparkSession, templates: tuple[Template, ...]) -> Data
             raise ValueError(f"template {x.name!r} is shorter than its grams")
         rows += [(number, t, " ".join(x.words[t : t + x.k])) for t in range(len(x.words) - x.k + 1)]
     made = spark.createDataFrame(rows, "template int, t int, gram string")
-    return made.withColumn("h", F.xxhash64("gram"))
+    made = made.withColumn("h", F.xxhash64("gram"))
+    size = sum(len(gram.encode()) + 64 for _, _, gram in rows)
+    return F.broadcast(made) if size <= MOST_BROADCAST else made
 
 
 def find_spans(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTICES) -> DataFrame:
@@ -117,8 +121,8 @@ def find_spans(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + NOTI
     Neighbouring diagonals make one span, so an inserted or missing word doesn't break
     it; the template words under its votes, all of them compared, must be enough, and
     the span at most twice as long as the template. Votes meet by document; a hot
-    template spreads over its documents. Spark sends the template table to all
-    executors if it is below its own limit, else both sides are shuffled."""
+    template spreads over its documents. All executors get the template table if it is
+    within ``MOST_BROADCAST``, else both sides are shuffled."""
     spark = docs.sparkSession
     words = F.col("words")
     grams = [_grams(words, k) for k in sorted({x.k for x in templates})]
