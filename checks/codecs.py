@@ -543,3 +543,31 @@ def json_encode(spark, sf_dir):
     )
     packed = json_pack(events, ["event_id", "ts", "user_id", "event_type"], "doc")
     return packed.select("event_id", "doc")
+
+
+@check(
+    """
+    SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN 3 END::INTEGER AS n_items,
+           CASE WHEN doc_id % 7 = 0 THEN lang END AS first
+    FROM documents
+    """
+)
+def array_decode_malformed(spark, sf_dir):
+    """Literals made from the rows, six of seven damaged, each in another way."""
+    lang, text = F.col("lang"), F.regexp_replace("text", r"[\\\\\"{}]", "")
+    good = F.concat(F.lit("{"), lang, F.lit(',"'), text, F.lit('",NULL}'))
+    damaged = [
+        F.concat(F.lit("{"), lang, F.lit(',"'), text, F.lit('"')),
+        F.concat(F.lit("{"), lang, F.lit(',"'), text, F.lit("}")),
+        F.concat(F.lit('{"'), text, F.lit('"'), lang, F.lit("}")),
+        F.concat(F.lit("{{"), lang, F.lit("},{"), lang, F.lit("}}")),
+        F.concat(lang, F.lit(",NULL")),
+        F.concat(F.lit("["), lang, F.lit(",NULL]")),
+    ]
+    literal = good
+    for k, other in enumerate(damaged, 1):
+        literal = F.when(F.col("doc_id") % 7 == k, other).otherwise(literal)
+    docs = table(spark, sf_dir, "documents").select("doc_id", literal.alias("v"))
+    items = decode_array(F.col("v"), "string")
+    size = F.when(items.isNotNull(), F.size(items)).alias("n_items")
+    return docs.select("doc_id", size, F.get(items, F.lit(0)).alias("first"))

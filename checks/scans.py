@@ -4,8 +4,9 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from checks.registry import check, money, table
+from checks.registry import check, fresh_dir, money, table
 from shardsync import (
+    ShardSpec,
     align_schema,
     assign_fragment,
     decode_row,
@@ -19,7 +20,6 @@ from shardsync import (
     route,
     write_sharded,
 )
-from shardsync.operators.staging import fresh_dir
 
 SAVED = str(Path(__file__).parent / "saved_queries")
 
@@ -313,3 +313,38 @@ def type_coerce(spark, sf_dir):
     shown = {"l_shipdate": F.col("l_shipdate").cast("string"), "raw": F.md5("raw")}
     shown["l_discount"] = F.col("l_discount").cast("string")
     return align_schema(df, DECLARED).withColumns(shown).withColumnRenamed("raw", "raw_md5")
+
+
+@check("SELECT n_nationkey, n_name, n_regionkey::BIGINT AS n_regionkey FROM nation")
+def shard_union_separate(spark, sf_dir):
+    """Shards in unrelated folders, with their columns in other orders and types."""
+    base = fresh_dir(spark, "separate")
+    nation = table(spark, sf_dir, "nation")
+    part = lambda i: nation.where(F.col("n_nationkey") % 3 == i)
+    frames = [
+        part(0),
+        part(1).select("n_regionkey", "n_name", "n_nationkey"),
+        part(2).select("n_name", F.col("n_nationkey").cast("long"), F.col("n_regionkey").cast("string")),
+    ]
+    for i, frame in enumerate(frames):
+        frame.write.parquet(f"{base}/place{i}/nation")
+    shards = [ShardSpec((f"{base}/place{i}",)) for i in range(3)]
+    schema = "n_nationkey int, n_name string, n_regionkey bigint"
+    return read_sharded(spark, shards, "nation", schema=schema)
+
+
+@check(
+    """
+    SELECT CASE WHEN p_size = 7 THEN 0 WHEN p_size = 15 THEN 1 WHEN p_size = 49 THEN 2 ELSE 3 END
+             AS fragment_id, count(*) AS n_rows
+    FROM part WHERE p_size <> 7 GROUP BY 1
+    """
+)
+def fragment_enum_numeric(spark, sf_dir):
+    """Listed values of a number column, spelled with a leading zero, as filters of the scan."""
+    spec = parse_fragment_spec("p_size:enum", "07:15:49")
+    parts = table(
+        spark, sf_dir, "part", plan=spec, fragments=[1, 2, 3], fragment_column="fragment_id",
+        columns=["p_size"],
+    )
+    return parts.groupBy("fragment_id").agg(F.count("*").alias("n_rows"))

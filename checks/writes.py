@@ -1,12 +1,13 @@
 """Segments, routing, batches, sinks, streams and the whole sync."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from checks.registry import check, money, table
+from checks.registry import check, fresh_dir, money, table
 from checks.scans import cluster
 from shardsync import (
+    ShardSpec,
     assign_segment,
-    plan_batches,
     read_sharded,
     read_stream_sink,
     route,
@@ -14,8 +15,6 @@ from shardsync import (
     write_sharded,
     write_stream_sharded,
 )
-from shardsync.operators.batches import HOT_ROWS
-from shardsync.operators.staging import fresh_dir
 
 
 @check(
@@ -73,18 +72,27 @@ def batch_oracle(key: str) -> str:
     """
 
 
+def batches(events, key, size=50, block=1000):
+    """Numbers of batches of ``size`` events of a key. Ranks are counted over blocks of
+    ids first and within blocks then, so no task holds all rows of a key."""
+    rows = events.withColumn("block", F.expr(f"event_id div {block}"))
+    inside = Window.partitionBy(key, "block").orderBy("event_id")
+    counted = rows.groupBy(key, "block").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = counted.select(key, "block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
+    ranked = rows.withColumn("place", F.row_number().over(inside) - 1).join(before, [key, "block"])
+    return ranked.select("event_id", key, F.expr(f"(before + place) div {size}").alias("batch_id"))
+
+
 @check(batch_oracle("user_id"))
 def batch_plan(spark, sf_dir):
-    df = table(spark, sf_dir, "events", columns=["event_id", "user_id"])
-    return plan_batches(df, "user_id", ["event_id"], 50)
+    return batches(table(spark, sf_dir, "events", columns=["event_id", "user_id"]), "user_id")
 
 
 @check(batch_oracle("event_type"))
 def batch_plan_hot_keys(spark, sf_dir):
-    # every one of the few keys is above a 32nd of the rows and is ranked in ranges
     df = table(spark, sf_dir, "events", columns=["event_id", "event_type"])
-    hot_rows = min(HOT_ROWS, df.count() // 32)
-    return plan_batches(df, "event_type", ["event_id"], 50, hot_rows=hot_rows)
+    return batches(df, "event_type")
 
 
 @check(
@@ -117,7 +125,7 @@ def stream_sink(spark, sf_dir):
     )
     target = fresh_dir(spark, "stream")
     query = write_stream_sharded(
-        stream, f"{target}/data", "events", f"{target}/checkpoint", n_shards=3
+        stream, f"{target}/data", "events", f"{target}/checkpoint", name="events", n_shards=3
     )
     query.awaitTermination()
     df = read_stream_sink(spark, f"{target}/data", "events")
@@ -162,3 +170,43 @@ def sync_end_to_end(spark, sf_dir):
         F.size("lines").alias("n_lines"),
         F.col("flags")[0].alias("is_long"),
     )
+
+
+@check("SELECT count(*) AS n_rows, 0::BIGINT AS over FROM orders")
+def batch_write(spark, sf_dir):
+    """Batches are the files: no file holds more rows than a batch."""
+    shards = cluster(spark, "batches")
+    orders = table(spark, sf_dir, "orders").withColumn("segment_id", F.col("o_custkey") % 8)
+    write_sharded(orders, shards, "orders", batch_size=500)
+    back = spark.read.parquet(*(s.location("orders") for s in shards))
+    files = back.groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("n"))
+    over = F.count(F.when(F.col("n") > 500, 1)).alias("over")
+    return files.agg(F.sum("n").alias("n_rows"), over)
+
+
+@check(
+    """
+    SELECT event_id, user_id, place, stream
+    FROM events, (VALUES ('root'), ('apart')) p(place), (VALUES ('a'), ('b')) s(stream)
+    """
+)
+def stream_replay(spark, sf_dir):
+    """Two streams in several micro-batches into one target, the first one replayed with
+    its own checkpoint and started anew with another; below one root and in separate
+    folders."""
+    base = fresh_dir(spark, "replay")
+    events = table(spark, sf_dir, "events", columns=["event_id", "user_id"])
+    events = events.withColumn("segment_id", F.col("user_id") % 8)
+    events.repartition(4).write.parquet(f"{base}/in")
+    places = {"root": f"{base}/root", "apart": [ShardSpec((f"{base}/shard{i}",)) for i in range(3)]}
+    for place, target in places.items():
+        for name, checkpoint in (("a", "a1"), ("b", "b1"), ("a", "a1"), ("a", "a2")):
+            stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+            write_stream_sharded(
+                stream.parquet(f"{base}/in"), target, "events", f"{base}/{place}-{checkpoint}",
+                name=name, n_shards=3 if place == "root" else None,
+            ).awaitTermination()
+    columns = ["event_id", "user_id", "stream"]
+    root = read_stream_sink(spark, places["root"], "events").select(*columns, F.lit("root").alias("place"))
+    apart = read_sharded(spark, places["apart"], "events").select(*columns, F.lit("apart").alias("place"))
+    return root.unionByName(apart)

@@ -17,8 +17,10 @@ from shardsync.functions.types import NUMBERS, TEXT, TIMES, element_type
 # One element: a quoted run or everything up to the next comma. The possessive
 # ``*+`` makes the regex engine loop instead of recurse and backtrack, so element
 # length is not limited by the thread stack.
-_HOST_TOKEN = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,]+'
-_SINK_TOKEN = r"(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'|[^,]+"
+_HOST_QUOTED = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+_SINK_QUOTED = r"(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+_HOST_TOKEN = r'(?s)\s*+"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,]+'
+_SINK_TOKEN = r"(?s)\s*+'[^'\\]*+(?:\\.[^'\\]*+)*+'|[^,]+"
 
 
 def encode_array(
@@ -38,15 +40,19 @@ def encode_array(
 
 
 def decode_array(
-    c: Column, elem_type: T.DataType | str, empty_as_null: bool = False
+    c: Column, elem_type: T.DataType | str, empty_as_null: bool = False, strict: bool = False
 ) -> Column:
-    """Host literal to typed array; an element that does not parse becomes NULL."""
+    """Host literal to typed array; an element that does not parse becomes NULL. Text
+    that is no literal (brackets, quotes or commas out of place, arrays in arrays) gives
+    NULL, or an error when ``strict``."""
     t = element_type(elem_type)
+    whole = c
+    c = _checked(c, _HOST_QUOTED, '"', "{", "}", strict)
     if isinstance(t, TEXT):
         items = _host_items(c)
     else:
         items = _plain_items(c, '"', t)
-    return F.when(F.length(c) > 2, items) if empty_as_null else items
+    return F.when(F.length(whole) > 2, items) if empty_as_null else items
 
 
 def encode_sink_array(
@@ -68,15 +74,17 @@ def encode_sink_array(
 
 
 def decode_sink_array(
-    c: Column, elem_type: T.DataType | str, empty_as_null: bool = False
+    c: Column, elem_type: T.DataType | str, empty_as_null: bool = False, strict: bool = False
 ) -> Column:
-    """Sink literal to typed array."""
+    """Sink literal to typed array; text that is no literal as in :func:`decode_array`."""
     t = element_type(elem_type)
+    whole = c
+    c = _checked(c, _SINK_QUOTED, "'", "[", "]", strict)
     if isinstance(t, TEXT):
         items = F.transform(_tokens(c, _SINK_TOKEN), lambda x: _item(x, "'", unescape_text))
     else:
         items = _plain_items(c, "'", t)
-    return F.when(F.length(c) > 2, items) if empty_as_null else items
+    return F.when(F.length(whole) > 2, items) if empty_as_null else items
 
 
 def decode_literal(c: Column, elem_type: T.DataType | str) -> Column:
@@ -87,10 +95,12 @@ def decode_literal(c: Column, elem_type: T.DataType | str) -> Column:
 
 
 def to_sink_array(c: Column, elem_type: T.DataType | str) -> Column:
-    """Host literal to sink literal; ``{}`` becomes NULL."""
+    """Host literal to sink literal; ``{}`` and text that is no literal become NULL."""
     t = element_type(elem_type)
+    c = _checked(c, _HOST_QUOTED, '"', "{", "}", False)
     if isinstance(t, NUMBERS):
-        return F.when(c != "{}", F.concat(F.lit("["), _body(c), F.lit("]")))
+        plain = F.array_join(_bare_texts(c, '"'), ",")
+        return F.when(c != "{}", F.concat(F.lit("["), plain, F.lit("]")))
     if isinstance(t, TEXT):
         items = F.transform(_host_items(c), lambda x: _quoted(_sink_escape(x), "'"))
     elif isinstance(t, T.BooleanType):
@@ -107,14 +117,36 @@ def _body(c: Column) -> Column:
 
 
 def _tokens(c: Column, token: str) -> Column:
-    return F.regexp_extract_all(_body(c), F.lit(token), F.lit(0))
+    found = F.regexp_extract_all(_body(c), F.lit(token), F.lit(0))
+    return F.filter(found, lambda x: F.trim(x) != "")
 
 
 def _host_items(c: Column) -> Column:
     return F.transform(_tokens(c, _HOST_TOKEN), lambda x: _item(x, '"', _host_unescape))
 
 
+def _checked(
+    c: Column, quoted: str, quote: str, left: str, right: str, strict: bool
+) -> Column:
+    """``c`` where it is a well-formed literal. Each quoted run is replaced by a bracket,
+    which can't stand bare, so quotes that are left over and text beside a run show."""
+    body = _body(c)
+    runs = F.regexp_replace(body, quoted, "\\" + left)
+    odd = F.regexp_replace(body, quoted, "").rlike(rf"[{quote}\{left}\{right}]") | runs.rlike(
+        rf"[^,\s]\s*+\{left}|\{left}\s*+[^,\s]"
+    )
+    plain_odd = body.rlike(rf"[\{left}\{right}]")
+    odd = F.when(F.contains(body, F.lit(quote)), odd).otherwise(plain_odd)
+    ends = (F.length(c) >= 2) & F.startswith(c, F.lit(left)) & F.endswith(c, F.lit(right))
+    good = ends & ~odd
+    if not strict:
+        return F.when(good, c)
+    text = F.concat(F.lit("no array literal: "), F.substring(c, 1, 100))
+    return F.when(good | c.isNull(), c).otherwise(F.raise_error(text).cast("string"))
+
+
 def _item(x: Column, quote: str, unescape) -> Column:
+    x = F.trim(x)
     inner = F.substring(x, F.lit(2), F.length(x) - 2)
     return F.when(F.startswith(x, F.lit(quote)), unescape(inner)).otherwise(_not_null_word(x))
 
@@ -128,9 +160,12 @@ def _plain_items(c: Column, quote: str, data_type: T.DataType | str) -> Column:
 
     The word NULL is taken out before the cast, as text that does not parse costs an
     exception."""
+    return F.transform(_bare_texts(c, quote), lambda x: _not_null_word(x).try_cast(data_type))
+
+
+def _bare_texts(c: Column, quote: str) -> Column:
     bare = F.replace(_body(c), F.lit(quote), F.lit(""))
-    texts = F.array_remove(F.split(bare, ","), "")
-    return F.transform(texts, lambda x: _not_null_word(x).try_cast(data_type))
+    return F.array_remove(F.transform(F.split(bare, ","), lambda x: F.trim(x)), "")
 
 
 def _wrapped(

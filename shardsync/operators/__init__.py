@@ -1,4 +1,3 @@
-from shardsync.operators.batches import plan_batches
 from shardsync.operators.fragments import (
     assign_fragment,
     fragment_number,
@@ -30,6 +29,5 @@ __all__ = [
     "json_column",
     "json_pack",
     "keep_fragments",
-    "plan_batches",
     "route",
 ]

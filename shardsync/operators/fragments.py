@@ -4,28 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardsync.plans.dialects import quote_ident
-from shardsync.plans.fragments import Fragment, FragmentSpec
+from shardsync.plans.fragments import Fragment, FragmentSpec, typed
 
 PLAN_SCHEMA = (
     "fragment_no int, kind string, lo string, hi string, predicate string, shard_no int"
 )
 
 
-def fragment_number(spec: FragmentSpec, column: Column | None = None) -> Column:
-    """Fragment number of a row, in constant time per row and without a join."""
+#: Enums with more values are numbered by a join with a table of the values.
+MOST_MAPPED = 50
+#: More chosen fragments are told by their number instead of their own bounds.
+MOST_RANGES = 100
+
+
+def fragment_number(
+    spec: FragmentSpec, column: Column | None = None, data_type: T.DataType | None = None
+) -> Column:
+    """Fragment number of a row, without a join. Ranges take constant time; listed
+    values, read as ``data_type``, are looked up one by one."""
     c = F.col(quote_ident(spec.column, "spark")) if column is None else column
     last = F.lit(spec.null_number)
     if spec.kind == "enum":
-        pairs = [F.lit(x) for i, v in enumerate(spec.values) for x in (v, i)]
-        hit = F.try_element_at(F.create_map(*pairs), c.cast("string"))
-        return F.when(c.isNull(), last).otherwise(F.coalesce(hit, F.lit(spec.steps)))
+        values = F.array(*(typed(v, data_type) for v in spec.values))
+        at = F.array_position(values, c if data_type is not None else c.cast("string"))
+        hit = F.when(at > 0, (at - 1).cast("int")).otherwise(spec.steps)
+        return F.when(c.isNull(), last).otherwise(hit)
     if spec.kind == "date":
         c = c.cast("date")
         step = _date_step(spec, c)
@@ -62,35 +71,94 @@ def _div(c: Column, n: int) -> Column:
 def assign_fragment(
     df: DataFrame, spec: FragmentSpec, out: str = "fragment_id"
 ) -> DataFrame:
-    """Add the fragment number of every row."""
-    return df.withColumn(out, fragment_number(spec))
+    """Add the fragment number of every row. A long list of values is joined; Spark
+    checks the size of their table before it sends it to every task."""
+    name = quote_ident(spec.column, "spark")
+    kind = _type_of(df, spec)
+    if spec.kind != "enum" or len(spec.values) <= MOST_MAPPED:
+        return df.withColumn(out, fragment_number(spec, data_type=kind))
+    listed = df.sparkSession.createDataFrame(
+        list(enumerate(spec.values)), "_number int, _value string"
+    ).withColumn("_value", F.col("_value").cast(kind))
+    found = df.join(listed, F.col(name) == F.col("_value"), "left")
+    number = F.when(F.col(name).isNull(), spec.null_number).otherwise(
+        F.coalesce("_number", F.lit(spec.steps))
+    )
+    return found.withColumn(out, number).drop("_number", "_value")
+
+
+def _type_of(df: DataFrame, spec: FragmentSpec) -> T.DataType:
+    return df.select(quote_ident(spec.column, "spark")).schema[0].dataType
 
 
 def fragment_plan(
     spark: SparkSession, n_shards: int, spec: FragmentSpec, dialect: str = "ansi"
 ) -> DataFrame:
-    """Every fragment of every shard as a row."""
+    """Every fragment of every shard as a row. The rows of an int plan are computed by
+    Spark; date and enum plans have no more rows than their bounds and values."""
     if n_shards < 1:
         raise ValueError("a plan needs at least one shard")
-    rows = [
-        (f.number, f.kind, _text(f.lo), _text(f.hi), f.to_predicate(dialect))
-        for f in spec.fragments()
-    ]
     schema = PLAN_SCHEMA.rsplit(",", 1)[0]
     shards = F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1)))
-    return spark.createDataFrame(rows, schema).withColumn("shard_no", shards)
+    edges = spec.fragments() if spec.kind != "int" else map(spec.fragment, (0, 1, spec.null_number))
+    rows = [
+        (f.number, f.kind, _text(f.lo), _text(f.hi), f.to_predicate(dialect)) for f in edges
+    ]
+    plan = spark.createDataFrame(rows, schema)
+    if spec.kind == "int":
+        plan = plan.unionAll(_int_steps(spark, spec, dialect))
+    return plan.withColumn("shard_no", shards)
+
+
+def _int_steps(spark: SparkSession, spec: FragmentSpec, dialect: str) -> DataFrame:
+    if spec.steps >= 2**31 - 2:
+        raise ValueError(f"a plan has fewer than 2**31 fragments, not {len(spec)}")
+    wide = "decimal(38,0)"
+    lo = F.lit(spec.start).cast(wide) + F.col("id").cast("decimal(11,0)") * F.lit(spec.step).cast("decimal(19,0)")
+    lo = lo.cast("bigint")
+    hi = F.least(lo.cast(wide) + F.lit(spec.step).cast(wide), F.lit(spec.end).cast(wide)).cast("bigint")
+    name = F.lit(quote_ident(spec.column, dialect))
+    predicate = F.concat(
+        name, F.lit(" >= "), lo.cast("string"), F.lit(" AND "), name, F.lit(" < "), hi.cast("string")
+    )
+    return spark.range(spec.steps).select(
+        (F.col("id") + 2).cast("int").alias("fragment_no"), F.lit("range").alias("kind"),
+        lo.cast("string").alias("lo"), hi.cast("string").alias("hi"), predicate.alias("predicate"),
+    )
 
 
 def keep_fragments(
     df: DataFrame, spec: FragmentSpec, numbers: Sequence[int]
 ) -> DataFrame:
-    """Rows of the chosen fragments, as a filter the scan can push down."""
+    """Rows of the chosen fragments, as a filter the scan can push down. Of very many
+    scattered ranges the scan gets the outer bounds, and each row's number tells."""
     picked: list[Fragment] = []
-    for f in map(spec.fragment, sorted(set(numbers))):
+    kind = _type_of(df, spec)
+    chosen = sorted(set(numbers))
+    listed = [spec.values[n] for n in chosen if n < spec.steps] if spec.kind == "enum" else []
+    for f in map(spec.fragment, chosen[len(listed) :]):
         if picked and f.kind == picked[-1].kind == "range" and picked[-1].hi == f.lo:
             f = replace(picked.pop(), hi=f.hi)  # neighbours make one range
         picked.append(f)
-    return df.where(reduce(or_, (f.to_column() for f in picked), F.lit(False)))
+    parts = [f.to_column(kind) for f in picked]
+    if listed:
+        c = F.col(quote_ident(spec.column, "spark"))
+        parts.append(c.isin([typed(v, kind) for v in listed]))
+    if len(parts) <= MOST_RANGES:
+        return df.where(_any(parts))
+    ranges = [f for f in picked if f.kind == "range"]
+    others = [f.to_column(kind) for f in picked if f.kind != "range"]
+    outer = replace(ranges[0], hi=ranges[-1].hi).to_column()
+    inside = outer & fragment_number(spec).isin([n for n in chosen if n > 1 and n < spec.null_number])
+    return df.where(_any([*others, inside]))
+
+
+def _any(parts: list[Column]) -> Column:
+    """A balanced OR; false for no part."""
+    if len(parts) < 2:
+        return parts[0] if parts else F.lit(False)
+    half = len(parts) // 2
+    return _any(parts[:half]) | _any(parts[half:])
 
 
 def _text(bound) -> str | None:

@@ -6,31 +6,22 @@ before it, and survives the loss of executors.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR = "spark.checkpoint.dir"
 
 
-@lru_cache(maxsize=1)
-def _local_dir() -> str:
-    return tempfile.mkdtemp(prefix="shardsync-")
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a local one only where there
-    is no cluster."""
-    folder = spark.conf.get(SHARED_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    """The folder named in ``spark.checkpoint.dir``, or set as the context's checkpoint
+    folder."""
+    folder = spark.conf.get(SHARED_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise ValueError(f"set {SHARED_DIR} to a folder all executors can reach")
-    return _local_dir()
+    return folder.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -38,12 +29,6 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` and return the written table. Its folder stays behind for
-    whoever reads it later."""
-    return _written(df, fresh_dir(df.sparkSession, label))
-
-
 @contextmanager
 def staged_once(df: DataFrame, label: str, partition_by: str) -> Iterator[DataFrame]:
     """Write ``df`` cut by a column and remove the copy at the end of the block."""
@@ -52,9 +37,13 @@ def staged_once(df: DataFrame, label: str, partition_by: str) -> Iterator[DataFr
     try:
         yield _written(df, path, partition_by)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.delete(folder, True)
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all in it, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def _written(df: DataFrame, path: str, *partition_by: str) -> DataFrame:

@@ -1,7 +1,6 @@
 from shardsync.plans.dialects import (
     DIALECTS,
     dialect_for,
-    needs_quotes,
     quote_ident,
     render_literal,
 )
@@ -24,7 +23,6 @@ __all__ = [
     "fragments_date",
     "fragments_enum",
     "fragments_int",
-    "needs_quotes",
     "parse_fragment_spec",
     "quote_ident",
     "render_literal",

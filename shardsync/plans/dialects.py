@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import datetime as dt
 import decimal
-import re
 
 # Literal spellings, one entry per database family.
 DATE_LITERALS = {
@@ -70,9 +69,3 @@ def render_literal(value, dialect: str = "ansi") -> str:
 def quote_ident(name: str, dialect: str = "ansi") -> str:
     mark = "`" if dialect in _BACKTICK else '"'
     return mark + name.replace(mark, mark * 2) + mark
-
-
-def needs_quotes(names, extra: str = "") -> bool:
-    """True when a name has upper-case letters or characters outside ``\\w``."""
-    plain = re.compile(rf"[\w{re.escape(extra)}]+")
-    return any(n != n.lower() or not plain.fullmatch(n) for n in names)

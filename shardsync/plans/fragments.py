@@ -21,6 +21,7 @@ from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardsync.plans.dialects import quote_ident, render_literal
 
@@ -41,14 +42,16 @@ class Fragment:
     hi: object = None
     values: tuple[str, ...] = ()
 
-    def to_column(self) -> Column:
+    def to_column(self, data_type: T.DataType | None = None) -> Column:
+        """The rows of the fragment. Listed values are read as the column's type, so
+        that a scan can compare them; a value that isn't of that type is an error."""
         c = F.col(quote_ident(self.column, "spark"))
         if self.kind == "null":
             return c.isNull()
         if self.kind == "value":
-            return c.cast("string") == F.lit(self.values[0])
+            return c == typed(self.values[0], data_type)
         if self.kind == "rest":
-            return reduce(and_, (c.cast("string") != F.lit(v) for v in self.values))
+            return ~c.isin([typed(v, data_type) for v in self.values])
         bounds = []
         if self.lo is not None:
             bounds.append(c >= F.lit(self.lo))
@@ -73,6 +76,11 @@ class Fragment:
         return " AND ".join(bounds)
 
 
+def typed(value: str, data_type: T.DataType | None) -> Column:
+    """A listed value in the column's type; as text, where that isn't known."""
+    return F.lit(value) if data_type is None else F.lit(value).cast(data_type)
+
+
 @dataclass(frozen=True)
 class FragmentSpec:
     """How to cut ``column``; build one with the functions below."""

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
+from threading import Event
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardsync.operators.batches import DEFAULT_BATCH, batch_size_or_error
 from shardsync.operators.routing import SEGMENT, SHARD, route
 from shardsync.operators.schema import check_sink_schema, column
 from shardsync.operators.staging import staged_once
@@ -17,10 +18,8 @@ from shardsync.operators.tables import encode_row, encode_table
 from shardsync.sources.named_query import is_named_query
 from shardsync.sources.shards import FORMATS, ShardSpec, all_jdbc, common_root
 
-# Up to this many shards a task writes one file per shard without a shuffle; with
-# more of them the files of an input split would get too small.
-DIRECT_SHARDS = 4
-LAYOUTS = ("auto", "direct", "rebalance")
+DEFAULT_BATCH = 100_000
+LAYOUTS = ("rebalance", "direct")
 
 
 def write_sharded(
@@ -33,7 +32,7 @@ def write_sharded(
     segment_column: str = SEGMENT,
     keyed: bool = True,
     fmt: str = "parquet",
-    layout: str = "auto",
+    layout: str = "rebalance",
     batch_size: int | None = None,
     max_writers: int | None = None,
     shards_at_once: int = 8,
@@ -43,12 +42,16 @@ def write_sharded(
 
     Shards below one directory are written in a single pass, others from a staged
     copy cut by shard, so the input is computed once. ``layout`` says how rows
-    reach the files: ``direct`` writes where they are, ``rebalance`` gathers a
-    shard's rows first and lets adaptive execution split a large shard over many
-    tasks; ``auto`` takes ``direct`` for few shards. ``max_writers`` caps the tasks
-    that write to one shard at a time, 0 means as many as the cluster has slots.
-
-    A file write is committed as a whole. A JDBC append commits per task and is
+    reach the files: ``rebalance`` gathers a shard's rows first and lets adaptive
+    execution split a large shard over many tasks, and needs adaptive execution;
+    ``direct`` writes rows where they are, without a shuffle, in up to one file per
+    task and shard. ``max_writers`` caps the tasks that write to one shard at a time:
+    rows are dealt to that many tasks per shard after they were read and encoded. 0
+    means as many as the cluster has slots.
+
+    Shards below one directory are committed as a whole. Separate shards are
+    committed one by one: after the first that fails, running ones are cancelled, no
+    further one starts, and its error is raised. A JDBC append commits per task and is
     at-least-once: a task that is run again may repeat its rows.
     """
     if is_named_query(table):
@@ -71,34 +74,40 @@ def write_sharded(
 
     if fmt == "lines" and not jdbc:
         routed = encode_row(routed, keep=(SHARD,))
-    routed = _laid_out(routed, len(shards), layout, keyed)
+    routed = _laid_out(routed, layout, keyed, max_writers, len(shards))
     if jdbc:
         _write_jdbc(routed, shards, table, mode, size, max_writers, shards_at_once, options)
         return
     root = common_root(shards, table)
     if root is not None:
-        routed = _capped(routed, max_writers)
         _files(routed, fmt, mode, size, options).partitionBy(SHARD).save(root)
         return
 
     def write(i: int, rows: DataFrame) -> None:
-        rows = _capped(rows, max_writers)
-        _files(rows, fmt, mode, size, options).save(shards[i].location(table))
+        _files(_dealt(rows, max_writers), fmt, mode, size, options).save(shards[i].location(table))
 
     _per_shard(routed, len(shards), shards_at_once, write)
 
 
-def _laid_out(routed: DataFrame, n: int, layout: str, keyed: bool) -> DataFrame:
-    if layout == "direct" or not keyed or (layout == "auto" and n <= DIRECT_SHARDS):
+def _laid_out(
+    routed: DataFrame, layout: str, keyed: bool, max_writers: int | None, n_shards: int
+) -> DataFrame:
+    if max_writers is not None:
+        lane = F.pmod(F.monotonically_increasing_id(), F.lit(max_writers))
+        lane = (F.col(SHARD) * max_writers + lane).cast("int")
+        return routed.repartitionById(n_shards * max_writers, lane)
+    if layout == "direct" or not keyed:
         return routed
     # only adaptive execution splits a large shard; without it, gathering would
     # leave the shard to one task
-    adaptive = routed.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
-    return routed.hint("rebalance", SHARD) if adaptive else routed
+    if routed.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        raise ValueError("layout 'rebalance' needs spark.sql.adaptive.enabled")
+    return routed.hint("rebalance", SHARD)
 
 
-def _capped(df: DataFrame, max_writers: int | None) -> DataFrame:
-    return df if max_writers is None else df.coalesce(max_writers)
+def _dealt(rows: DataFrame, max_writers: int | None) -> DataFrame:
+    """At most that many tasks, by a shuffle, so that reading stays parallel."""
+    return rows if max_writers is None else rows.repartition(max_writers)
 
 
 def _files(df: DataFrame, fmt: str, mode: str, size: int | None, options: dict | None):
@@ -108,6 +117,13 @@ def _files(df: DataFrame, fmt: str, mode: str, size: int | None, options: dict |
     return writer.options(**(options or {}))
 
 
+def batch_size_or_error(size: int) -> int:
+    """0 means 1, a negative size is an error."""
+    if size < 0:
+        raise ValueError(f"batch size must not be negative, it is {size}")
+    return size or 1
+
+
 def jdbc_write_options(
     batch_size: int | None, max_writers: int | None, options: dict | None
 ) -> dict[str, str]:
@@ -139,8 +155,29 @@ def _per_shard(routed: DataFrame, n: int, at_once: int, write) -> None:
         def one(i: int) -> None:
             write(i, staged.where(F.col(SHARD) == i).drop(SHARD))
 
+        spark = routed.sparkSession
+        tag = f"shards-{uuid.uuid4().hex}"
+        failed = Event()
+
+        def one_tagged(i: int) -> None:
+            if failed.is_set():
+                return
+            spark.addTag(tag)
+            try:
+                one(i)
+            except BaseException:
+                failed.set()
+                raise
+            finally:
+                spark.removeTag(tag)
+
         with ThreadPoolExecutor(max_workers=max(1, min(n, at_once))) as pool:
-            tagged = inheritable_thread_target(routed.sparkSession)(one)
-            jobs = [pool.submit(tagged, i) for i in range(n)]
-            for job in jobs:
-                job.result()
+            target = inheritable_thread_target(spark)(one_tagged)
+            jobs = [pool.submit(target, i) for i in range(n)]
+            try:
+                for job in as_completed(jobs):
+                    job.result()
+            except BaseException:
+                pool.shutdown(wait=False, cancel_futures=True)
+                spark.interruptTag(tag)
+                raise

@@ -23,6 +23,8 @@ from shardsync.plans.dialects import dialect_for
 from shardsync.plans.fragments import FragmentSpec
 
 DEFAULT_FETCH = 100_000
+#: Tasks of one JDBC shard; a finer plan is an error.
+MOST_TASKS = 100_000
 FORMATS = ("parquet", "orc", "lines")
 
 _TABLE = "{table}"
@@ -115,6 +117,8 @@ def jdbc_predicates(
     if spec is None:
         return None
     chosen = range(len(spec)) if numbers is None else sorted(set(numbers))
+    if len(chosen) > MOST_TASKS:
+        raise ValueError(f"a shard is read by at most {MOST_TASKS} tasks, not {len(chosen)}")
     return [spec.fragment(n).to_predicate(dialect, quote) for n in chosen]
 
 
@@ -176,8 +180,9 @@ def read_sharded(
 def _read_files(spark, shards, table, schema, fmt, options, shard_column) -> DataFrame:
     def scan(*paths: str) -> DataFrame:
         if fmt != "lines":
+            merged = {"mergeSchema": "true", **options} if schema is None else options
             try:
-                return spark.read.format(fmt).options(**options).load(list(paths))
+                return spark.read.format(fmt).options(**merged).load(list(paths))
             except AnalysisException as e:
                 # a partitioned write of no rows leaves no file to learn from
                 if schema is None or e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
@@ -194,7 +199,7 @@ def _read_files(spark, shards, table, schema, fmt, options, shard_column) -> Dat
         df = scan(root)
         if SHARD not in df.columns:
             df = df.withColumn(SHARD, F.lit(0))
-        df = df.where(F.col(SHARD).between(0, len(shards) - 1))
+        _no_other_shards(spark, root, len(shards))
         declared = schema or T.StructType([f for f in df.schema if f.name != SHARD])
         if shard_column is None:
             return align_schema(df, declared)
@@ -204,11 +209,31 @@ def _read_files(spark, shards, table, schema, fmt, options, shard_column) -> Dat
     return _union([scan(s.location(table)) for s in shards], schema, shard_column)
 
 
+def _no_other_shards(spark: SparkSession, root: str, n: int) -> None:
+    """A folder of a shard that isn't listed holds rows that would go missing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in found]
+    numbers = [x.removeprefix(f"{SHARD}=") for x in names if x.startswith(f"{SHARD}=")]
+    others = [x for x in numbers if not x.isdigit() or int(x) >= n]
+    if others:
+        raise ValueError(f"{root} has shards that are not listed: {', '.join(sorted(others))}")
+
+
 def _union(
     frames: Sequence[DataFrame], schema: T.StructType | None, shard_column: str | None
 ) -> DataFrame:
-    """Union by name in the declared schema, or in that of the first shard."""
+    """Union by name in the declared schema. Without one, all shards must have the same
+    columns, so that none goes missing; the first shard's order and types count."""
     declared = schema if schema is not None else frames[0].schema
+    if schema is None:
+        for i, frame in enumerate(frames):
+            odd = set(frame.columns) ^ set(declared.names)
+            if odd:
+                raise ValueError(
+                    f"shard {i} differs from the first in the columns {', '.join(sorted(odd))}; "
+                    "declare a schema"
+                )
     aligned = (align_schema(f, declared) for f in frames)
     if shard_column:
         aligned = (f.withColumn(shard_column, F.lit(i)) for i, f in enumerate(aligned))

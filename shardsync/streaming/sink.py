@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shardsync.operators.routing import SEGMENT, SHARD
+from shardsync.operators.staging import remove
 from shardsync.operators.tables import decode_row
 from shardsync.sinks.shards import write_sharded
-from shardsync.sources.shards import ShardSpec, file_cluster
+from shardsync.sources.shards import ShardSpec, all_jdbc, file_cluster
 
 BATCH = "batch"
+STREAM = "stream"
 
 
 def write_stream_sharded(
@@ -22,6 +25,7 @@ def write_stream_sharded(
     table: str,
     checkpoint: str,
     *,
+    name: str,
     n_shards: int | None = None,
     segment_column: str = SEGMENT,
     keyed: bool = True,
@@ -30,20 +34,35 @@ def write_stream_sharded(
 ) -> StreamingQuery:
     """Write every micro-batch to the shards.
 
-    A directory ``target`` with ``n_shards`` gets ``<table>/batch=<id>/_shard=<i>``;
-    a micro-batch that runs again replaces its own folder, so rows arrive exactly
-    once. JDBC shards are appended to and get rows at least once.
+    A directory ``target`` with ``n_shards`` gets
+    ``<table>/stream=<name>/batch=<id>/_shard=<i>``, and every directory shard
+    ``<table>/stream=<name>/batch=<id>``. A micro-batch that runs again replaces its own
+    folder, so rows arrive exactly once, and streams of different names never touch
+    each other's. A stream that starts anew under a name in use (with a new
+    checkpoint) replaces what that name wrote. JDBC shards are appended to and get
+    rows at least once.
     """
+    if not re.fullmatch(r"[\w.-]+", name):
+        raise ValueError("a stream's name has letters, digits, '_', '.' and '-' only")
     if isinstance(target, str) and n_shards is None:
         raise ValueError("a directory target needs the number of shards")
 
     def write(rows: DataFrame, batch_id: int) -> None:
         common = dict(segment_column=segment_column, keyed=keyed, **write_options)
+        part = f"{STREAM}={name}/{BATCH}={batch_id}"
         if isinstance(target, str):
-            shards = file_cluster(f"{target.rstrip('/')}/{table}", n_shards)
-            write_sharded(rows, shards, f"{BATCH}={batch_id}", mode="overwrite", **common)
-        else:
+            folders = [f"{target.rstrip('/')}/{table}"]
+            shards, place = file_cluster(folders[0], n_shards), part
+        elif all_jdbc(target):
             write_sharded(rows, target, table, mode="append", **common)
+            return
+        else:
+            folders = [s.location(table) for s in target]
+            shards, place = [ShardSpec((f,)) for f in folders], part
+        if batch_id == 0:
+            for folder in folders:
+                remove(rows.sparkSession, f"{folder}/{STREAM}={name}")
+        write_sharded(rows, shards, place, mode="overwrite", **common)
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -61,10 +80,10 @@ def read_stream_sink(
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """What :func:`write_stream_sharded` has written to a directory target, with
-    the columns ``batch`` and ``_shard``. Lines need their ``schema``."""
+    the columns ``stream``, ``batch`` and ``_shard``. Lines need their ``schema``."""
     path = f"{target.rstrip('/')}/{table}"
     if fmt == "lines":
         if schema is None:
             raise ValueError("lines are read with a declared schema")
-        return decode_row(spark.read.text(path, lineSep="\n"), schema, keep=(BATCH, SHARD))
+        return decode_row(spark.read.text(path, lineSep="\n"), schema, keep=(STREAM, BATCH, SHARD))
     return spark.read.format(fmt).load(path)

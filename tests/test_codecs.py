@@ -21,7 +21,7 @@ from shardsync import (
     unescape_text,
 )
 
-JSON_1 = r'{"from":"ana","note":"say \"hi there"}'
+WINDY = '{"title":"Gale \\"Ida\\"","sea":[4,7]}'
 
 
 def one(spark, value, data_type, build):
@@ -31,18 +31,16 @@ def one(spark, value, data_type, build):
 @pytest.mark.parametrize(
     ("literal", "elements"),
     [
-        ('{aaa,ddd,null,"adc,afe"}', ["aaa", "ddd", None, "adc,afe"]),
+        ("{north,south west,NULL}", ["north", "south west", None]),
         ("{}", []),
-        ("{Y,H,H,Y}", ["Y", "H", "H", "Y"]),
-        ('{"s","d","c"}', ["s", "d", "c"]),
+        ("{null,Null,nULL}", [None, None, None]),
+        ('{"", "x,y" ,z}', ["", "x,y", "z"]),
+        (r'{"tide \"high\"",NULL,""}', ['tide "high"', None, ""]),
         (
-            r'{"",NULL,"","d,d",NULL,"c,\"r",NULL,""}',
-            ["", None, "", "d,d", None, 'c,"r', None, ""],
-        ),
-        (
-            r'{"{\"from\":\"ana\",\"note\":\"say \\\"hi there\"}",NULL,"{\"a\":1}"}',
-            [JSON_1, None, '{"a":1}'],
+            '{"' + WINDY.replace("\\", "\\\\").replace('"', r"\"") + '",NULL,"[]"}',
+            [WINDY, None, "[]"],
         ),
+        ('{"{",  "}", "[,]"}', ["{", "}", "[,]"]),
         ('{"NULL",NULL}', ["NULL", None]),
         (r'{"ends in \\","next"}', ["ends in \\", "next"]),
         ("{a,,b}", ["a", "b"]),
@@ -57,17 +55,17 @@ def test_decode_text(spark, literal, elements):
 @pytest.mark.parametrize(
     ("literal", "elem_type", "elements"),
     [
-        ("{1,3,4}", "bigint", [1, 3, 4]),
-        ("{1,NULL,x}", "int", [1, None, None]),
+        ("{12,-40,9000000000}", "bigint", [12, -40, 9_000_000_000]),
+        ("{8, 9,NULL,x}", "int", [8, 9, None, None]),
         ("{t,f,1,0,NULL}", "boolean", [True, False, True, False, None]),
-        ("{2019-01-01,NULL}", "date", [dt.date(2019, 1, 1), None]),
+        ("{1999-12-31,NULL}", "date", [dt.date(1999, 12, 31), None]),
         (
-            '{"2021-06-17 18:02:17.435","2021-06-15 18:02:17.435",NULL}',
+            '{"1987-03-04 05:06:07.25",NULL,"2031-12-31 23:59:59"}',
             "timestamp_ntz",
             [
-                dt.datetime(2021, 6, 17, 18, 2, 17, 435000),
-                dt.datetime(2021, 6, 15, 18, 2, 17, 435000),
+                dt.datetime(1987, 3, 4, 5, 6, 7, 250000),
                 None,
+                dt.datetime(2031, 12, 31, 23, 59, 59),
             ],
         ),
     ],
@@ -228,32 +226,58 @@ def test_line_cells(spark):
     assert raw.first().value == "Null\ta\tb"
 
 
-def test_sample_line_file(spark):
-    # one line as the sample of the array table has it
-    line = "\t".join(
-        [
-            r"""['{"from":"ana","note":"say \\"hi there"}',NULL,'{"from":"bo"}']""",
-            "['2019-01-01 00:00:00.456',NULL,'2019-01-03 00:00:00.789']",
-            "['2019-01-01','2019-01-03',NULL]",
-            "[1,0,NULL]",
-            "[234243,453424]",
-            "[234243.333,453424.456]",
-            "[234243.333,453424.456]",
-            "\\N",
-            "['aa,f',NULL,'c\"cc','dd']",
-        ]
-    )
+def test_a_line_with_every_kind_of_array(spark):
     schema = """
-        s_arr array<string>, dt_arr array<timestamp_ntz>, d_arr array<date>, ui_arr array<boolean>,
-        i_arr array<bigint>, di_arr array<decimal(18,6)>, f_arr array<double>, n byte, s array<string>
+        harbour array<string>, seen array<timestamp_ntz>, day array<date>, open array<boolean>,
+        depth array<bigint>, fee array<decimal(12,3)>, drift array<double>, berth byte
     """
-    row = decode_row(spark.createDataFrame([(line,)], "value string"), schema).first()
-    assert row.s_arr[1] is None and row.s_arr[2] == '{"from":"bo"}'
-    assert row.dt_arr[0] == dt.datetime(2019, 1, 1, 0, 0, 0, 456000) and row.dt_arr[1] is None
-    assert row.d_arr == [dt.date(2019, 1, 1), dt.date(2019, 1, 3), None]
-    assert row.ui_arr == [True, False, None] and row.i_arr == [234243, 453424]
-    assert [float(x) for x in row.di_arr] == row.f_arr == [234243.333, 453424.456]
-    assert row.n is None and row.s == ["aa,f", None, 'c"cc', "dd"]
+    cells = [
+        "['quay \\'A\\'',NULL,'x,y']",
+        "['2003-04-05 06:07:08.9']",
+        "[NULL,'2004-02-29']",
+        "[0,NULL,1]",
+        "[-7,12]",
+        "[10.125,NULL]",
+        "[0.5]",
+        "\\N",
+    ]
+    row = decode_row(spark.createDataFrame([("\t".join(cells),)], "value string"), schema).first()
+    assert row.harbour == ["quay 'A'", None, "x,y"]
+    assert row.seen == [dt.datetime(2003, 4, 5, 6, 7, 8, 900000)]
+    assert row.day == [None, dt.date(2004, 2, 29)] and row.open == [False, None, True]
+    assert row.depth == [-7, 12] and [str(x) for x in row.fee] == ["10.125", "None"]
+    assert row.drift == [0.5] and row.berth is None
+
+
+DAMAGED = [
+    "abc", "x1,2,3y", "{a,b", '{"a,b}', "{{1,2},{3,4}}", "", "{", "}", "{a}b}", '{"a"b}', '{a"b"}',
+    '{"a""b"}', '{"a" "b"}', '{"a\\"}', "[1,2]",
+]
+
+
+@pytest.mark.parametrize("literal", DAMAGED)
+def test_text_that_is_no_literal(spark, literal):
+    for kind in ("string", "int", "timestamp_ntz"):
+        assert one(spark, literal, "string", lambda c, k=kind: decode_array(c, k)) is None
+        assert one(spark, literal, "string", lambda c, k=kind: to_sink_array(c, k)) is None
+        with pytest.raises(Exception, match="no array literal"):
+            one(spark, literal, "string", lambda c, k=kind: decode_array(c, k, strict=True))
+    sink = literal.translate(str.maketrans("{}[]\"", "[]{}'"))
+    assert one(spark, sink, "string", lambda c: decode_sink_array(c, "string")) is None
+
+
+def test_empty_pieces_count_for_no_type(spark):
+    for kind, items in (("string", ["1", "2"]), ("int", [1, 2])):
+        assert one(spark, "{1,,2}", "string", lambda c, k=kind: decode_array(c, k)) == items
+    assert one(spark, "{1,,2}", "string", lambda c: to_sink_array(c, "int")) == "[1,2]"
+    assert one(spark, "{a,,b}", "string", lambda c: to_sink_array(c, "string")) == "['a','b']"
+
+
+def test_very_long_literals_are_checked(spark):
+    long = "a,\\\\" * 300_000
+    df = spark.createDataFrame([('{"' + long + '","x"}',), ("{" + "7," * 500_000 + "7}",)], "v string")
+    found = [r[0] for r in df.select(F.size(decode_array(F.col("v"), "string"))).collect()]
+    assert found == [2, 500_001]
 
 
 @pytest.mark.parametrize("bad", ["m map<string,int>", "s struct<a:int>", "x array<binary>"])
@@ -295,3 +319,18 @@ def test_json_pack(spark):
     )
     row = json_pack(json_pack(df, df.columns, "x"), df.columns, "y", as_bytes=True).first()
     assert row.x == expected and bytes(row.y) == expected.encode()
+
+
+def test_json_is_parsed_once(spark):
+    df = spark.createDataFrame([('{"a":1,"b":"x"}',)], "j string")
+    made = json_column(df, "j", "struct<a:int,b:string>", "s").select("s.a", "s.b")
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1 and made.first() == (1, "x")
+
+
+def test_json_of_odd_names_and_nested_dates(spark):
+    df = spark.sql("SELECT 1 AS `a.b`, array(struct(date'2020-02-03' AS d)) AS l")
+    assert json_pack(df, df.columns, "x").first().x == '{"a.b":1,"l":[{"d":"2020-02-03 00:00:00.000"}]}'
+    text = spark.createDataFrame([('[{"a-b":3}]',)], "j string")
+    kind = "array<struct<`a-b`:int>>"
+    assert json_column(text, "j", kind, "l").first().l[0]["a-b"] == 3

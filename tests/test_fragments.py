@@ -9,11 +9,11 @@ from shardsync import (
     date_bounds,
     dialect_for,
     fragment_plan,
+    jdbc_predicates,
     fragments_date,
     fragments_enum,
     fragments_int,
     keep_fragments,
-    needs_quotes,
     parse_fragment_spec,
     quote_ident,
     render_literal,
@@ -235,8 +235,51 @@ def test_more_literals_and_names():
     with pytest.raises(ValueError):
         render_literal(1, "nosuch")
     assert quote_ident('a"b') == '"a""b"' and quote_ident("a`b", "mysql") == "`a``b`"
-    assert needs_quotes(["plain", "Mixed"]) and needs_quotes(["a b"])
-    assert not needs_quotes(["plain_1"]) and not needs_quotes(["a$b"], extra="$")
     assert dialect_for("Microsoft SQL Server") == "sqlserver"
     assert dialect_for("Oracle") == "oracle" and dialect_for("MySQL") == "mysql"
     assert dialect_for("S3 Select") == "s3select" and dialect_for("anything") == "ansi"
+
+
+@pytest.mark.parametrize(
+    ("kind", "values", "rows"),
+    [
+        ("bigint", ["1", "007"], [1, 7, 3, None]),
+        ("decimal(9,2)", ["1.5", "2"], ["1.50", "2.00", "3.00", None]),
+        ("date", ["2024-02-29"], ["2024-02-29", "2024-03-01", None]),
+        ("boolean", ["true"], ["true", "false", None]),
+        ("string", ["a", "b:"], ["a", "b:", "c", None]),
+    ],
+)
+def test_listed_values_are_read_as_the_columns_type(spark, kind, values, rows):
+    spec = fragments_enum("c", values)
+    df = spark.createDataFrame([(None if r is None else str(r),) for r in rows], "c string")
+    df = df.select(F.col("c").cast(kind).alias("c"))
+    numbered = assign_fragment(df, spec, "f").collect()
+    expected = [i for i, _ in enumerate(values)] if len(rows) - 2 == len(values) else [0]
+    assert [r.f for r in numbered] == [*expected, len(values), len(values) + 1]
+    for n in range(len(spec)):
+        assert keep_fragments(df, spec, [n]).count() == sum(r.f == n for r in numbered)
+        predicate = spec.fragment(n).to_predicate("spark")
+        assert df.where(predicate).count() == sum(r.f == n for r in numbered)
+
+
+def test_very_many_values_and_ranges(spark):
+    df = spark.range(30_000)
+    spec = fragments_enum("id", [str(2 * k) for k in range(10_000)])
+    assert keep_fragments(df, spec, range(0, 10_000, 2)).count() == 5_000
+    assert keep_fragments(df, spec, [10_000]).count() == 20_000
+    numbers = assign_fragment(df, spec, "f").groupBy("f").count()
+    assert numbers.count() == 10_001 and numbers.where("f = 10000").first()["count"] == 20_000
+    spec = fragments_int("id", 0, 30_000, 1)
+    kept = keep_fragments(df, spec, [0, 1, *range(2, 20_002, 2)])
+    assert kept.count() == 10_000 and kept.where("id % 2 = 1").isEmpty()
+
+
+def test_a_large_plan_is_not_built_on_the_driver(spark):
+    spec = fragments_int("k", -5, 10**9, 1)
+    plan = fragment_plan(spark, 1, spec)
+    last = plan.where(f"fragment_no = {len(spec) - 2}").first()
+    assert (last.lo, last.hi) == (str(10**9 - 1), str(10**9))
+    assert last.predicate == spec.fragment(len(spec) - 2).to_predicate()
+    with pytest.raises(ValueError):
+        jdbc_predicates(spec)

@@ -1,10 +1,8 @@
-import random
-from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
-from shardsync import assign_segment, plan_batches, route
+from shardsync import assign_segment, route
 
 
 def segments(spark, values, kind="int"):
@@ -60,45 +58,3 @@ def test_null_keys_have_a_segment(spark):
     df = spark.createDataFrame([(None,)], "k string")
     for method in ("xxhash64", "md5"):
         assert assign_segment(df, ["k"], 8, method=method).first().segment_id is not None
-
-
-def brute_batches(rows, size):
-    groups = defaultdict(list)
-    for key, order in rows:
-        groups[key].append(order)
-    return sorted(
-        ((str(k), o, i // size) for k, v in groups.items() for i, o in enumerate(sorted(v))),
-        key=str,
-    )
-
-
-@pytest.mark.parametrize("hot_rows", [10**6, 200, 40])
-def test_batches_of_skewed_keys(spark, hot_rows):
-    rng = random.Random(3)
-    rows = [(rng.choice(["hot", "hot", None, "a", "b", f"k{i}"]), i) for i in range(3000)]
-    rng.shuffle(rows)
-    df = spark.createDataFrame(rows, "k string, o int").repartition(7)
-    out = plan_batches(df, "k", ["o"], 50, hot_rows=hot_rows)
-    assert out.columns == ["k", "o", "batch_id"]
-    assert sorted(((str(r.k), r.o, r.batch_id) for r in out.collect()), key=str) == brute_batches(
-        rows, 50
-    )
-
-
-def test_a_hot_key_with_equal_order_values_is_still_cut(spark):
-    df = spark.range(4000, numPartitions=4).select(F.lit(1).alias("k"), F.lit(0).alias("o"))
-    out = plan_batches(df, "k", ["o"], 50, hot_rows=500)
-    sizes = [r["count"] for r in out.groupBy("batch_id").count().collect()]
-    assert sizes == [50] * 80
-
-
-@pytest.mark.parametrize(("size", "sizes"), [(50, [50, 50, 20]), (0, [1] * 120), (200, [120])])
-def test_batch_sizes(spark, size, sizes):
-    df = spark.range(120).withColumn("k", F.lit("x"))
-    out = plan_batches(df, "k", ["id"], size).groupBy("batch_id").count().orderBy("batch_id")
-    assert [r["count"] for r in out.collect()] == sizes
-
-
-def test_negative_batch_raises(spark):
-    with pytest.raises(ValueError):
-        plan_batches(spark.range(1), "id", ["id"], -1)
