@@ -12,6 +12,8 @@ from shardsync.llm.common import file_backed, located, written
 
 #: Sources that the driver weighs at most; more are an error, not a cut.
 MOST_SOURCES = 100_000
+#: Bytes of the table of sources, at most, that every executor gets a copy of.
+MOST_BROADCAST = 8 << 20
 
 
 @dataclass(frozen=True)
@@ -123,6 +125,8 @@ def plan_mix(
         ],
         "name string, tokens long, budget long, blocks long, passes long",
     )
+    if sum(len(r.name.encode()) + 64 for r in totals) <= MOST_BROADCAST:
+        facts = F.broadcast(facts)  # else a source's rows meet in the join
     dealt = rows.join(facts.select("name", "blocks"), "name").withColumn(
         "block", F.col("h") % F.col("blocks")
     )
