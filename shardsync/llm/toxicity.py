@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from shardsync.llm.common import held_out, written
 
 FOLDS = 3
+#: Tasks that fit the trees to the bounded sample.
+FIT_TASKS = 4
 PREFIXES = (4, 5, 6, 7)
 #: Words that speak to the reader, in English, French, German and Spanish.
 SECOND_PERSON = frozenset(
@@ -233,6 +235,8 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 20_000, trees: int = 30)
         return None
     lexicons = learn_lexicons(learn)
     features = written(read_features(learn, lexicons, "label", "fold"), "toxic-features")
+    # the bounded sample is passed over some hundred times: few tasks, not tiny ones
+    features = features.coalesce(FIT_TASKS)
     last = F.col("fold") == FOLDS - 1
     split = {(f == FOLDS - 1, label) for f, label in kinds}
     apart = len(split) == 4
