@@ -4,23 +4,18 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardsync.llm.common import held_out, written
 
 FOLDS = 3
-#: Tasks that fit the trees to the bounded sample.
-FIT_TASKS = 4
 PREFIXES = (4, 5, 6, 7)
 #: Words that speak to the reader, in English, French, German and Spanish.
 SECOND_PERSON = frozenset(
@@ -30,6 +25,8 @@ SECOND_PERSON = frozenset(
 #: Signs and digits that stand in for letters.
 _LOOKALIKES = str.maketrans("013457@$!|", "oieastasii")
 _KNOWN = 200_000
+#: Tokens whose form is remembered; only speed depends on it.
+_FORMS = 1 << 16
 #: Facts about one token; each is summed over a text.
 TOKEN = ("n", "word", "prefix", "hit", "near_hit", "you", "shout", "upper", "chars", "marks", "bangs", "masked")
 FEATURES = (
@@ -38,6 +35,7 @@ FEATURES = (
 )
 
 
+@lru_cache(maxsize=_FORMS)
 def canonical(token: str) -> str:
     """Lower case, look-alikes turned back between letters, other signs removed."""
     bare = token.lower().strip("!|.,;:?\"'()[]{}*#%&$-_")
@@ -46,9 +44,25 @@ def canonical(token: str) -> str:
     return bare
 
 
-def keys_of(word: str) -> list[str]:
+@lru_cache(maxsize=_FORMS)
+def keys_of(word: str) -> tuple[str, ...]:
     """What the lexicon may know a word by: itself, and its beginnings."""
-    return [word, *(word[:k] + "+" for k in PREFIXES if len(word) >= k)]
+    return (word, *(word[:k] + "+" for k in PREFIXES if len(word) >= k))
+
+
+@lru_cache(maxsize=_FORMS)
+def form_of(token: str) -> tuple[float, ...]:
+    """The facts about a token that need no lexicon."""
+    word = canonical(token)
+    letters = sum(map(str.isalpha, token))
+    upper = sum(map(str.isupper, token))
+    marks = len(token) - sum(map(str.isalnum, token))
+    inner = token.strip("!|.,;:?\"'()[]{}*#%&$-_")
+    masked = letters and not inner.isalpha() and word != "".join(filter(str.isalpha, token.lower()))
+    return (
+        word in SECOND_PERSON, letters > 1 and upper == letters, upper, len(token), marks,
+        token.count("!"), bool(masked),
+    )
 
 
 @dataclass
@@ -59,18 +73,10 @@ class Lexicon:
     weights: dict[str, float]
 
     def facts(self, token: str) -> tuple[float, ...]:
-        word = canonical(token)
+        word, *starts = keys_of(canonical(token))
         known = self.weights.get(word, 0.0)
-        start = max((self.weights.get(k, 0.0) for k in keys_of(word)[1:]), default=0.0)
-        letters = sum(map(str.isalpha, token))
-        upper = sum(map(str.isupper, token))
-        marks = len(token) - sum(map(str.isalnum, token))
-        inner = token.strip("!|.,;:?\"'()[]{}*#%&$-_")
-        masked = letters and not inner.isalpha() and word != "".join(filter(str.isalpha, token.lower()))
-        return (
-            1.0, known, start, known >= 3.0, start >= 1.5, word in SECOND_PERSON,
-            letters > 1 and upper == letters, upper, len(token), marks, token.count("!"), bool(masked),
-        )
+        start = max((self.weights.get(k, 0.0) for k in starts), default=0.0)
+        return (1.0, known, start, known >= 3.0, start >= 1.5, *form_of(token))
 
 
 class Reader:
@@ -124,7 +130,8 @@ class Reader:
 
 def training_rows(docs: DataFrame, labels: DataFrame, rows: int = 20_000) -> DataFrame:
     """About ``rows`` labelled documents at most (all, if there are fewer), by the
-    digests of their ids: ``text``, ``label``, ``fold``. Held-out rows, rows without
+    digests of their ids: ``text``, ``label``, ``fold``. An id that repeats gives one row,
+    the one with the greatest text, so that the bound holds for any table. Held-out rows, rows without
     text, id or label, and labels that contradict each other are not learned from."""
     marks = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(
         F.min("toxic").alias("label"), F.max("toxic").alias("most")
@@ -135,6 +142,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = 20_000) -> Dat
     marks = marks.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) <= share)
     fold = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold")
     joined = docs.select("doc_id", "text").where("text IS NOT NULL").join(marks, "doc_id")
+    joined = joined.groupBy("doc_id", "label").agg(F.max("text").alias("text"))
     return written(joined.select("text", "label", fold), "toxic-rows")
 
 
@@ -183,14 +191,19 @@ def learn_lexicons(rows: DataFrame, most: int = 20_000) -> list[Lexicon]:
     return [*(lexicon([g for g in every if g != f]) for f in every), lexicon(every)]
 
 
-
-
-def read_features(rows: DataFrame, lexicons: list[Lexicon], *keep: str) -> DataFrame:
-    """``keep`` and the ``FEATURES`` of ``text``. A column ``fold`` among ``keep`` names
-    the lexicon; without it the last one, learned from all folds, is used."""
+def _per_text(
+    rows: DataFrame,
+    lexicons: list[Lexicon],
+    keep: tuple[str, ...],
+    finish: Callable[[np.ndarray], list[np.ndarray]],
+    names: tuple[str, ...],
+    by: str | None = None,
+) -> DataFrame:
+    """``keep`` and the columns ``names``, which ``finish`` makes of the features of a
+    batch. The column ``by`` names each row's lexicon; without it the last one is used."""
     shared = rows.sparkSession.sparkContext.broadcast(lexicons)
     given = rows.select(*keep, "text")
-    fold = keep.index("fold") if "fold" in keep else None
+    fold = keep.index(by) if by else None
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         readers = [Reader(x) for x in shared.value]
@@ -200,58 +213,131 @@ def read_features(rows: DataFrame, lexicons: list[Lexicon], *keep: str) -> DataF
             made = np.array(
                 [readers[f].read(texts[k].as_py()) for k, f in enumerate(folds)], np.float64
             ).reshape(-1, len(FEATURES))
-            columns = [pa.array(np.ascontiguousarray(c)) for c in made.T]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(keep)], *columns], [*keep, *FEATURES]
-            )
+            columns = [pa.array(np.ascontiguousarray(c), pa.float64()) for c in finish(made)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], [*keep, *names])
 
     kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema[: len(keep)])
-    return given.mapInArrow(read, ", ".join([kind, *(f"{c} double" for c in FEATURES)]))
+    return given.mapInArrow(read, ", ".join([kind, *(f"{c} double" for c in names)]))
 
 
 @dataclass
-class Scorer:
-    lexicons: list[Lexicon]
-    trees: GBTClassificationModel
-    calibration: IsotonicRegressionModel
+class Trees:
+    """Boosted trees of equal depth. Node ``k`` of a tree has the children ``2k + 1``
+    (at most the cut) and ``2k + 2``; the last level are the leaves."""
+
+    start: float
+    features: np.ndarray
+    cuts: np.ndarray
+    leaves: np.ndarray
+
+    def margin(self, x: np.ndarray) -> np.ndarray:
+        total = np.full(len(x), self.start)
+        row = np.arange(len(x))
+        for feature, cut, leaf in zip(self.features, self.cuts, self.leaves, strict=True):
+            node = np.zeros(len(x), np.int64)
+            while len(x) and node[0] < len(feature):
+                node = 2 * node + 1 + (x[row, feature[node]] > cut[node])
+            total += leaf[node - len(feature)]
+        return total
+
+
+def grow_trees(
+    x: np.ndarray, y: np.ndarray, trees: int = 30, depth: int = 3, step: float = 0.2,
+    bins: int = 64, smallest: int = 5,
+) -> Trees:
+    """Gradient boosting of the log loss. Each node takes the cut of the largest gain,
+    by sums of first and second derivatives over the bins of each feature; no side of
+    a cut has fewer than ``smallest`` rows."""
+    share = np.linspace(0, 1, bins // 2 + 1)[:-1]
+    edges = [np.unique(np.quantile(c, share)) for c in x.T]
+    edges = [np.unique(np.r_[e, np.quantile(np.unique(c), share)]) for e, c in zip(edges, x.T, strict=True)]
+    n_bins = max(map(len, edges)) + 1
+    found = np.stack([np.searchsorted(e, c) for e, c in zip(edges, x.T, strict=True)], axis=1)
+    cut_of = np.full((x.shape[1], n_bins), np.inf)
+    for at, e in enumerate(edges):
+        cut_of[at, : len(e)] = e
+    rate = y.mean()
+    start = math.log(rate / (1 - rate))
+    total, row = np.full(len(x), start), np.arange(len(x))
+    inner = 2**depth - 1
+    features, cuts = np.zeros((trees, inner), np.int64), np.full((trees, inner), np.inf)
+    leaves = np.zeros((trees, inner + 1))
+    width = x.shape[1] * n_bins
+    for tree in range(trees):
+        p = 1 / (1 + np.exp(-total))
+        slope, bend = y - p, p * (1 - p)
+        node = np.zeros(len(x), np.int64)
+        for level in range(depth):
+            first, many = 2**level - 1, 2**level
+            place = ((node - first)[:, None] * width + np.arange(x.shape[1]) * n_bins + found).ravel()
+            g, h, n = (
+                np.bincount(place, np.repeat(w, x.shape[1]), many * width)
+                .reshape(many, x.shape[1], n_bins).cumsum(axis=2)
+                for w in (slope, bend, np.ones(len(x)))
+            )
+            rest = [s[:, :, -1:] - s for s in (g, h, n)]
+            gain = g**2 / (h + 1) + rest[0] ** 2 / (rest[1] + 1) - g[:, :, -1:] ** 2 / (h[:, :, -1:] + 1)
+            gain[(n < smallest) | (rest[2] < smallest)] = 0.0
+            best = gain.reshape(many, width).argmax(axis=1)
+            useful = gain.reshape(many, width)[np.arange(many), best] > 1e-9
+            feature, bin_ = best // n_bins, best % n_bins
+            features[tree, first : first + many] = feature
+            cuts[tree, first : first + many] = np.where(useful, cut_of[feature, bin_], np.inf)
+            node = 2 * node + 1 + (x[row, features[tree][node]] > cuts[tree][node])
+        leaf = node - inner
+        g, h = (np.bincount(leaf, w, inner + 1) for w in (slope, bend))
+        leaves[tree] = step * g / (h + 1)
+        total += leaves[tree][leaf]
+    return Trees(start, features, cuts, leaves)
+
+
+def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends and heights of the steps of the best rising fit of ``y`` to ``raw``:
+    neighbours that fall are pooled. Between steps one interpolates."""
+    at, group = np.unique(raw, return_inverse=True)
+    steps: list[list[float]] = []
+    for x, s, n in zip(at, np.bincount(group, y), np.bincount(group), strict=True):
+        steps.append([x, x, s, n])
+        while len(steps) > 1 and steps[-2][2] * steps[-1][3] >= steps[-1][2] * steps[-2][3]:
+            _, last, s1, n1 = steps.pop()
+            steps[-1][1:] = [last, steps[-1][2] + s1, steps[-1][3] + n1]
+    ends = np.array([s[:2] for s in steps]).ravel()
+    return ends, np.repeat([s[2] / s[3] for s in steps], 2)
+
 
+@dataclass
+class Scorer:
+    lexicon: Lexicon
+    trees: Trees
+    ends: np.ndarray
+    heights: np.ndarray
 
-def _margin(trees: GBTClassificationModel, features: DataFrame) -> DataFrame:
-    """The trees' probability, before calibration."""
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(features)
-    scored = trees.transform(vectors)
-    return scored.withColumn("raw", vector_to_array("probability")[1])
+    def scores(self, features: np.ndarray) -> np.ndarray:
+        return np.clip(np.interp(self.trees.margin(features), self.ends, self.heights), 0.0, 1.0)
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = 20_000, trees: int = 30) -> Scorer | None:
     """A scorer, or None where the labelled rows aren't of both kinds.
 
+    Spark chooses the sample, counts the lexicon and reads the features. Trees and
+    calibration are fitted to the sample's features alone, ``rows`` times
+    ``FEATURES`` numbers whatever the size of the corpus.
+
     Lexicon features of a training row come from the other folds' rows. Trees are
     grown on all folds but the last, on whose rows the calibration is fitted; if that
     lacks a kind, on all rows both."""
     learn = training_rows(docs, labels, rows)
-    kinds = {(r.fold, r.label) for r in learn.select("fold", "label").distinct().collect()}
-    if not {(0.0), (1.0)} <= {label for _, label in kinds}:
+    if {r.label for r in learn.select("label").distinct().collect()} != {0.0, 1.0}:
         return None
     lexicons = learn_lexicons(learn)
-    features = written(read_features(learn, lexicons, "label", "fold"), "toxic-features")
-    # the bounded sample is passed over some hundred times: few tasks, not tiny ones
-    features = features.coalesce(FIT_TASKS)
-    last = F.col("fold") == FOLDS - 1
-    split = {(f == FOLDS - 1, label) for f, label in kinds}
-    apart = len(split) == 4
-    grow = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(
-        features.where(~last) if apart else features
-    )
-    model = GBTClassifier(
-        labelCol="label", maxIter=trees, maxDepth=3, stepSize=0.2, subsamplingRate=1.0, seed=1,
-        checkpointInterval=-1,
-    ).fit(grow.select("label", "features"))
-    scored = written(
-        _margin(model, features.where(last) if apart else features).select("label", "raw"), "toxic-raw"
-    )
-    steps = IsotonicRegression(labelCol="label", featuresCol="raw").fit(scored)
-    return Scorer(lexicons, model, steps)
+    read = _per_text(learn, lexicons, ("label", "fold"), lambda made: list(made.T), FEATURES, by="fold")
+    table = np.array([tuple(r) for r in read.collect()], np.float64)
+    table = table[np.lexsort(table.T)]  # sums don't depend on the order of tasks
+    y, last, x = table[:, 0], table[:, 1] == FOLDS - 1, table[:, 2:]
+    apart = all(len(set(y[part])) == 2 for part in (last, ~last))
+    grow, check = (~last, last) if apart else (slice(None), slice(None))
+    model = grow_trees(x[grow], y[grow], trees)
+    return Scorer(lexicons[-1], model, *isotonic(model.margin(x[check]), y[check]))
 
 
 def score_toxicity(
@@ -264,8 +350,6 @@ def score_toxicity(
     if scorer is None:
         scored = docs.select(*keep, F.lit(0.0).alias("score"))
     else:
-        raw = _margin(scorer.trees, read_features(docs, scorer.lexicons, *keep))
-        steps = scorer.calibration.setFeaturesCol("raw").setPredictionCol("calibrated")
-        clipped = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated")))
-        scored = steps.transform(raw).select(*keep, clipped.alias("score"))
+        bare = replace(scorer, lexicon=Lexicon({}))  # the words go by broadcast
+        scored = _per_text(docs, [scorer.lexicon], keep, lambda made: [bare.scores(made)], ("score",))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
