@@ -191,3 +191,65 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shardsync.llm.packing import pack_documents
 
     return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.trie import conversation_trie
+
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op13_conversation_trie"] = r"""
+WITH t AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS p
+    FROM conversations WHERE conv_id IS NOT NULL
+), c AS (
+    SELECT conv_id, conv_id - conv_id % 20 AS base,
+           list_reduce(list_concat([4294967295::BIGINT],
+                   [ord(x)::BIGINT FOR x IN string_split(conv_id::VARCHAR, '')]),
+               lambda s, x: list_reduce(list_concat([xor(s, x)], range(8)),
+                   lambda y, i: CASE WHEN y % 2 = 1 THEN xor(y >> 1, 3988292384::BIGINT) ELSE y >> 1 END)) AS crc
+    FROM (SELECT DISTINCT conv_id FROM t)
+), h AS (
+    SELECT conv_id, base, 3 - crc % 4 AS h FROM c
+), r AS (
+    SELECT h.conv_id, p, role, text FROM h JOIN t ON t.conv_id = h.base AND p < h
+    UNION ALL
+    SELECT h.conv_id, p, role, text FROM h JOIN t ON t.conv_id = h.conv_id AND p >= h
+), s AS (
+    SELECT h.conv_id, coalesce(list(sha256(strlen(role) || ':' || role || text) ORDER BY p)
+               FILTER (text IS NOT NULL), []) AS path,
+           coalesce(list(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) ORDER BY p)
+               FILTER (text IS NOT NULL), []) AS words
+    FROM h LEFT JOIN r USING (conv_id) GROUP BY h.conv_id
+), m AS (
+    SELECT conv_id, unnest(range(0, len(path) + 1)) AS depth, path, words FROM s
+), n AS (
+    SELECT depth, list_slice(path, 1, depth) AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+           any_value(CASE WHEN depth = 0 THEN 0 ELSE words[depth] END) AS w,
+           sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), ''))
+               AS ends_sha256
+    FROM m GROUP BY ALL
+), k AS (
+    SELECT p.depth, p.prefix, count(c.depth) AS n_children
+    FROM n p LEFT JOIN n c ON c.depth = p.depth + 1 AND list_slice(c.prefix, 1, p.depth) = p.prefix
+    GROUP BY ALL
+), u AS (
+    SELECT n.*, n_children FROM n JOIN k USING (depth, prefix)
+), b AS (
+    SELECT unnest(range(0, depth + 1)) AS top, prefix, (n_convs - 1) * w AS saved,
+           (n_children = 0)::INTEGER AS leaf
+    FROM u
+), g AS (
+    SELECT top AS depth, list_slice(prefix, 1, top) AS prefix, sum(leaf)::BIGINT AS n_leaves,
+           sum(saved)::BIGINT AS saved_tokens
+    FROM b GROUP BY ALL
+)
+SELECT u.conv_id, u.depth, p.conv_id AS parent_conv_id, u.n_convs, u.n_children, g.n_leaves, g.saved_tokens,
+       u.ends_sha256
+FROM u JOIN g USING (depth, prefix)
+LEFT JOIN n p ON p.depth = u.depth - 1 AND p.prefix = list_slice(u.prefix, 1, u.depth - 1)
+"""
