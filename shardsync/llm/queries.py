@@ -253,3 +253,36 @@ SELECT u.conv_id, u.depth, p.conv_id AS parent_conv_id, u.n_convs, u.n_children,
 FROM u JOIN g USING (depth, prefix)
 LEFT JOIN n p ON p.depth = u.depth - 1 AND p.prefix = list_slice(u.prefix, 1, u.depth - 1)
 """
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.negatives import hard_negatives
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+ORACLE["op12_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [floor(256 * x::DOUBLE) for x in embedding] AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND label IS NOT NULL
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, c.label = a.label AS same,
+           list_inner_product(a.v, c.v)::BIGINT AS score
+    FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
