@@ -286,3 +286,10 @@ FROM p JOIN s USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
 """
+
+
+@query
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shardsync.llm.jaccard import jaccard_classes
+
+    return jaccard_classes(_table(spark, sf_dir, "documents"))

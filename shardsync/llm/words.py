@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
+#: Bytes beyond which a word's polynomial hash is not used: it has equal values for
+#: some words of a thousand bytes and more.
+LONG_WORD = 64
 _STEP = 0x9E3779B97F4A7C15
 _STEP_BACK = pow(_STEP, -1, 1 << 64)
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
@@ -62,6 +66,8 @@ def words(
         [np.zeros(1, np.uint64), np.cumsum((FOLD[data].astype(np.uint64) + np.uint64(1)) * up)]
     )
     hashes = (total[ends] - total[starts]) * down[starts]
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(FOLD[data[starts[i] : ends[i]]].tobytes())
     return starts, ends, mix(hashes + (ends - starts).astype(np.uint64))
 
 
