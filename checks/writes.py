@@ -1,6 +1,5 @@
 """Segments, routing, batches, sinks, streams and the whole sync."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks.registry import check, fresh_dir, money, table
@@ -63,38 +62,6 @@ def route_by_task(spark, sf_dir):
     )
 
 
-def batch_oracle(key: str) -> str:
-    return f"""
-    SELECT event_id, {key},
-           CAST((row_number() OVER (PARTITION BY {key} ORDER BY event_id) - 1) // 50 AS BIGINT)
-             AS batch_id
-    FROM events
-    """
-
-
-def batches(events, key, size=50, block=1000):
-    """Numbers of batches of ``size`` events of a key. Ranks are counted over blocks of
-    ids first and within blocks then, so no task holds all rows of a key."""
-    rows = events.withColumn("block", F.expr(f"event_id div {block}"))
-    inside = Window.partitionBy(key, "block").orderBy("event_id")
-    counted = rows.groupBy(key, "block").agg(F.count("*").alias("n"))
-    ahead = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    before = counted.select(key, "block", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
-    ranked = rows.withColumn("place", F.row_number().over(inside) - 1).join(before, [key, "block"])
-    return ranked.select("event_id", key, F.expr(f"(before + place) div {size}").alias("batch_id"))
-
-
-@check(batch_oracle("user_id"))
-def batch_plan(spark, sf_dir):
-    return batches(table(spark, sf_dir, "events", columns=["event_id", "user_id"]), "user_id")
-
-
-@check(batch_oracle("event_type"))
-def batch_plan_hot_keys(spark, sf_dir):
-    df = table(spark, sf_dir, "events", columns=["event_id", "event_type"])
-    return batches(df, "event_type")
-
-
 @check(
     """
     SELECT o_orderkey, CAST(o_orderkey % 8 AS BIGINT) AS segment_id,

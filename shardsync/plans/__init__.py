@@ -13,8 +13,12 @@ from shardsync.plans.fragments import (
     fragments_int,
     parse_fragment_spec,
 )
+from shardsync.plans.lattice import NoCommonType, common_schema, common_type
 
 __all__ = [
+    "NoCommonType",
+    "common_schema",
+    "common_type",
     "DIALECTS",
     "Fragment",
     "FragmentSpec",

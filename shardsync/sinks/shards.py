@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shardsync.operators.digest import HASH, WriteDigest, with_row_hash
 from shardsync.operators.routing import SEGMENT, SHARD, route
 from shardsync.operators.schema import check_sink_schema, column
 from shardsync.operators.staging import staged_once
@@ -37,6 +38,7 @@ def write_sharded(
     max_writers: int | None = None,
     shards_at_once: int = 8,
     options: dict | None = None,
+    digest: WriteDigest | None = None,
 ) -> None:
     """Send every row to the shard of its segment.
 
@@ -52,7 +54,8 @@ def write_sharded(
     Shards below one directory are committed as a whole. Separate shards are
     committed one by one: after the first that fails, running ones are cancelled, no
     further one starts, and its error is raised. A JDBC append commits per task and is
-    at-least-once: a task that is run again may repeat its rows.
+    at-least-once: a task that is run again may repeat its rows. ``publish_sharded``
+    commits separate shards together. A ``digest`` is taken in the pass that writes.
     """
     if is_named_query(table):
         raise ValueError("a named query cannot be written to")
@@ -71,10 +74,15 @@ def write_sharded(
     # routed before the projection: the segment column need not be written
     routed = route(df, len(shards), segment_column, keyed)
     routed = routed.select(*map(column, names), SHARD)
+    beside = (SHARD,)
+    if digest is not None:
+        routed, beside = with_row_hash(routed, names, fmt), (SHARD, HASH)
 
     if fmt == "lines" and not jdbc:
-        routed = encode_row(routed, keep=(SHARD,))
+        routed = encode_row(routed, keep=beside)
     routed = _laid_out(routed, layout, keyed, max_writers, len(shards))
+    if digest is not None:
+        routed = digest.on(routed).drop(HASH)
     if jdbc:
         _write_jdbc(routed, shards, table, mode, size, max_writers, shards_at_once, options)
         return

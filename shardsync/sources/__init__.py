@@ -1,4 +1,5 @@
 from shardsync.sources.named_query import is_named_query, query_text, read_named_query
+from shardsync.sources.replicas import Choice, NoReplica, choose_replicas
 from shardsync.sources.shards import (
     ShardSpec,
     common_root,
@@ -10,6 +11,9 @@ from shardsync.sources.shards import (
 )
 
 __all__ = [
+    "Choice",
+    "NoReplica",
+    "choose_replicas",
     "ShardSpec",
     "common_root",
     "file_cluster",
