@@ -17,8 +17,10 @@ from shardsync.functions.types import NUMBERS, TEXT, TIMES, element_type
 # One element: a quoted run or everything up to the next comma. The possessive
 # ``*+`` makes the regex engine loop instead of recurse and backtrack, so element
 # length is not limited by the thread stack.
-_HOST_QUOTED = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"'
-_SINK_QUOTED = r"(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'"
+_QUOTED = {
+    '"': r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"',
+    "'": r"(?s)'[^'\\]*+(?:\\.[^'\\]*+)*+'",
+}
 _HOST_TOKEN = r'(?s)\s*+"[^"\\]*+(?:\\.[^"\\]*+)*+"|[^,]+'
 _SINK_TOKEN = r"(?s)\s*+'[^'\\]*+(?:\\.[^'\\]*+)*+'|[^,]+"
 
@@ -46,13 +48,8 @@ def decode_array(
     that is no literal (brackets, quotes or commas out of place, arrays in arrays) gives
     NULL, or an error when ``strict``."""
     t = element_type(elem_type)
-    whole = c
-    c = _checked(c, _HOST_QUOTED, '"', "{", "}", strict)
-    if isinstance(t, TEXT):
-        items = _host_items(c)
-    else:
-        items = _plain_items(c, '"', t)
-    return F.when(F.length(whole) > 2, items) if empty_as_null else items
+    items = _host_items(c) if isinstance(t, TEXT) else _plain_items(c, '"', t)
+    return _where_good(c, items, '"', "{", "}", empty_as_null, strict)
 
 
 def encode_sink_array(
@@ -78,13 +75,19 @@ def decode_sink_array(
 ) -> Column:
     """Sink literal to typed array; text that is no literal as in :func:`decode_array`."""
     t = element_type(elem_type)
-    whole = c
-    c = _checked(c, _SINK_QUOTED, "'", "[", "]", strict)
     if isinstance(t, TEXT):
         items = F.transform(_tokens(c, _SINK_TOKEN), lambda x: _item(x, "'", unescape_text))
     else:
         items = _plain_items(c, "'", t)
-    return F.when(F.length(whole) > 2, items) if empty_as_null else items
+    return _where_good(c, items, "'", "[", "]", empty_as_null, strict)
+
+
+def bad_elements(c: Column, elem_type: T.DataType | str) -> Column:
+    """Whether a sink literal has an element that is neither NULL nor of the type."""
+    t = element_type(elem_type)
+    if isinstance(t, TEXT):
+        return F.lit(False)
+    return F.exists(_bare_texts(c, "'"), lambda x: (F.upper(x) != "NULL") & x.try_cast(t).isNull())
 
 
 def decode_literal(c: Column, elem_type: T.DataType | str) -> Column:
@@ -97,10 +100,10 @@ def decode_literal(c: Column, elem_type: T.DataType | str) -> Column:
 def to_sink_array(c: Column, elem_type: T.DataType | str) -> Column:
     """Host literal to sink literal; ``{}`` and text that is no literal become NULL."""
     t = element_type(elem_type)
-    c = _checked(c, _HOST_QUOTED, '"', "{", "}", False)
+    good = _good(c, '"', "{", "}") & (c != "{}")
     if isinstance(t, NUMBERS):
         plain = F.array_join(_bare_texts(c, '"'), ",")
-        return F.when(c != "{}", F.concat(F.lit("["), plain, F.lit("]")))
+        return F.when(good, F.concat(F.lit("["), plain, F.lit("]")))
     if isinstance(t, TEXT):
         items = F.transform(_host_items(c), lambda x: _quoted(_sink_escape(x), "'"))
     elif isinstance(t, T.BooleanType):
@@ -109,7 +112,7 @@ def to_sink_array(c: Column, elem_type: T.DataType | str) -> Column:
     else:
         items = F.transform(_plain_items(c, '"', "string"), lambda x: _quoted(x, "'"))
     text = F.concat(F.lit("["), F.array_join(items, ",", "NULL"), F.lit("]"))
-    return F.when(c != "{}", text)
+    return F.when(good, text)
 
 
 def _body(c: Column) -> Column:
@@ -125,24 +128,29 @@ def _host_items(c: Column) -> Column:
     return F.transform(_tokens(c, _HOST_TOKEN), lambda x: _item(x, '"', _host_unescape))
 
 
-def _checked(
-    c: Column, quoted: str, quote: str, left: str, right: str, strict: bool
+def _good(c: Column, quote: str, left: str, right: str) -> Column:
+    """Whether ``c`` is a well-formed literal. Literals without quotes need two searches for
+    brackets. In others each quoted run is replaced by a pair of quotes, so that quotes that
+    are left over, brackets, and text beside a run show."""
+    whole = (F.length(c) >= 2) & F.startswith(c, F.lit(left)) & F.endswith(c, F.lit(right))
+    plain = (F.locate(left, c, 2) == 0) & (F.locate(right, c) == F.length(c))
+    q, b, e = quote, f"\\{left}", f"\\{right}"
+    odd = rf"(?s)(?<!\A){b}|{e}(?!\z)|(?<!{q}){q}(?!{q})|[^,\s{b}{q}]\s*+{q}{q}|{q}{q}\s*+[^,\s{e}]"
+    runs = F.regexp_replace(c, _QUOTED[quote], quote * 2)
+    return whole & F.when(F.contains(c, F.lit(quote)), ~runs.rlike(odd)).otherwise(plain)
+
+
+def _where_good(
+    c: Column, items: Column, quote: str, left: str, right: str, empty_as_null: bool, strict: bool
 ) -> Column:
-    """``c`` where it is a well-formed literal. Each quoted run is replaced by a bracket,
-    which can't stand bare, so quotes that are left over and text beside a run show."""
-    body = _body(c)
-    runs = F.regexp_replace(body, quoted, "\\" + left)
-    odd = F.regexp_replace(body, quoted, "").rlike(rf"[{quote}\{left}\{right}]") | runs.rlike(
-        rf"[^,\s]\s*+\{left}|\{left}\s*+[^,\s]"
-    )
-    plain_odd = body.rlike(rf"[\{left}\{right}]")
-    odd = F.when(F.contains(body, F.lit(quote)), odd).otherwise(plain_odd)
-    ends = (F.length(c) >= 2) & F.startswith(c, F.lit(left)) & F.endswith(c, F.lit(right))
-    good = ends & ~odd
+    good = _good(c, quote, left, right)
+    found = F.when(F.length(c) > 2, items) if empty_as_null else items
     if not strict:
-        return F.when(good, c)
+        return F.when(good, found)
     text = F.concat(F.lit("no array literal: "), F.substring(c, 1, 100))
-    return F.when(good | c.isNull(), c).otherwise(F.raise_error(text).cast("string"))
+    bad = F.raise_error(text).cast(T.StringType())
+    # an error has no type of its own: it stands where the length is compared
+    return F.when(good | c.isNull() | (F.length(bad) < 0), found)
 
 
 def _item(x: Column, quote: str, unescape) -> Column:
@@ -194,6 +202,7 @@ def _sink_escape(x: Column) -> Column:
 
 
 __all__ = [
+    "bad_elements",
     "decode_array",
     "decode_literal",
     "decode_sink_array",

@@ -2,8 +2,10 @@ from shardsync.operators.fragments import (
     assign_fragment,
     fragment_number,
     fragment_plan,
+    fragments_balanced,
     keep_fragments,
 )
+from shardsync.operators.rejects import Loaded, TooManyRejects, decode_row_checked, load_lines
 from shardsync.operators.routing import assign_segment, route
 from shardsync.operators.schema import align_schema, check_sink_schema
 from shardsync.operators.tables import (
@@ -16,6 +18,10 @@ from shardsync.operators.tables import (
 )
 
 __all__ = [
+    "Loaded",
+    "TooManyRejects",
+    "decode_row_checked",
+    "load_lines",
     "align_schema",
     "assign_fragment",
     "assign_segment",
@@ -26,6 +32,7 @@ __all__ = [
     "encode_table",
     "fragment_number",
     "fragment_plan",
+    "fragments_balanced",
     "json_column",
     "json_pack",
     "keep_fragments",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +27,7 @@ from shardsync.operators.schema import align_schema, check_sink_schema, column
 
 LINE = "value"
 
-_CELLS = "_cells"
+CELLS = "_cells"
 
 
 def encode_table(
@@ -87,21 +89,33 @@ def decode_row(
     escape: bool = True,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Inverse of :func:`encode_row`; ``schema`` is that of the line."""
+    """Inverse of :func:`encode_row`; ``schema`` is that of the line. Cells that don't parse
+    or are missing become NULL and cells beyond the schema are left out;
+    ``decode_row_checked`` and ``load_lines`` tell such lines."""
+    fields = check_sink_schema(as_schema(schema))
+    return split_lines(df, keep).select(
+        *(
+            parsed_cell(raw_cell(i, f, null, escape), f.dataType).alias(f.name)
+            for i, f in enumerate(fields)
+        ),
+        *map(column, keep),
+    )
+
+
+def split_lines(df: DataFrame, keep: Sequence[str]) -> DataFrame:
     # a column of its own, so that a line is split once and not once per cell
-    split = df.select(F.split(F.col(LINE), "\t").alias(_CELLS), *map(column, keep))
+    return df.select(F.split(F.col(LINE), "\t").alias(CELLS), *map(column, keep))
 
-    def parsed(i: int, f: T.StructField):
-        c = F.nullif(F.get(F.col(_CELLS), F.lit(i)), F.lit(null))
-        t = f.dataType
-        if isinstance(t, T.ArrayType):
-            return decode_sink_array(c, t.elementType).alias(f.name)
-        if escape and isinstance(t, TEXT + (T.BinaryType,)):
-            c = unescape_text(c)
-        return parse_scalar(c, t).alias(f.name)
 
-    fields = check_sink_schema(as_schema(schema))
-    return split.select(*(parsed(i, f) for i, f in enumerate(fields)), *map(column, keep))
+def raw_cell(i: int, f: T.StructField, null: str, escape: bool) -> Column:
+    """Text of a cell; NULL for the null marker and where the line has no such cell."""
+    c = F.nullif(F.get(F.col(CELLS), F.lit(i)), F.lit(null))
+    escaped = escape and isinstance(f.dataType, TEXT + (T.BinaryType,))
+    return unescape_text(c) if escaped else c
+
+
+def parsed_cell(c: Column, t: T.DataType) -> Column:
+    return decode_sink_array(c, t.elementType) if isinstance(t, T.ArrayType) else parse_scalar(c, t)
 
 
 def json_column(

@@ -4,10 +4,20 @@ from shardsync.plans.dialects import (
     quote_ident,
     render_literal,
 )
+from shardsync.plans.domains import (
+    Domain,
+    among,
+    between,
+    compare,
+    is_not_null,
+    is_null,
+    prune_fragments,
+)
 from shardsync.plans.fragments import (
     Fragment,
     FragmentSpec,
     date_bounds,
+    fragments_cuts,
     fragments_date,
     fragments_enum,
     fragments_int,
@@ -16,6 +26,14 @@ from shardsync.plans.fragments import (
 from shardsync.plans.lattice import NoCommonType, common_schema, common_type
 
 __all__ = [
+    "Domain",
+    "among",
+    "between",
+    "compare",
+    "fragments_cuts",
+    "is_not_null",
+    "is_null",
+    "prune_fragments",
     "NoCommonType",
     "common_schema",
     "common_type",

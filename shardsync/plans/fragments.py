@@ -6,11 +6,13 @@ A plan is driver-side metadata. The same fragment is available as a SQL string
 number of a row with arithmetic, never with a range join.
 
 Numbering: ranges are 0 = below the start, 1 = end and above, 2.. = the steps;
-enums are 0.. = the listed values, then everything else; NULL always comes last.
+enums are 0.. = the listed values, then everything else; NULL always comes last. Ranges
+have even steps, or their bounds are listed (``cuts``).
 """
 
 from __future__ import annotations
 
+import bisect
 import calendar
 import datetime as dt
 import re
@@ -91,13 +93,32 @@ class FragmentSpec:
     end: object = None
     step: int = 1
     unit: str | None = None
-    values: tuple[str, ...] = ()
+    values: tuple = ()
 
     @cached_property
-    def bounds(self) -> list[dt.date]:
-        """Step bounds of a date spec, start and end included."""
+    def bounds(self) -> list:
+        """Step bounds of a date spec or listed bounds, start and end included."""
+        if self.kind == "cuts":
+            return list(self.values)
         return date_bounds(self.start, self.end, self.step, self.unit)
 
+    @property
+    def outer(self) -> tuple:
+        """The start of the first step and the end of the last one."""
+        if self.kind == "enum":
+            raise ValueError("listed values have no bounds")
+        return (self.values[0], self.values[-1]) if self.kind == "cuts" else (self.start, self.end)
+
+    def step_of(self, value) -> int:
+        """The step, from 0, that holds a value between the outer bounds."""
+        if self.kind == "int":
+            return int((value - self.start) // self.step)
+        return bisect.bisect_right(self.bounds, value) - 1
+
+    def lower(self, step: int):
+        """The lower bound of a step."""
+        return self.start + step * self.step if self.kind == "int" else self.bounds[step]
+
     @property
     def steps(self) -> int:
         """Number of pieces between the start and the end, or of listed values."""
@@ -122,9 +143,9 @@ class FragmentSpec:
                 return Fragment(number, "rest", self.column, values=self.values)
             return Fragment(number, "value", self.column, values=(self.values[number],))
         if number == 0:
-            return Fragment(number, "low", self.column, hi=self.start)
+            return Fragment(number, "low", self.column, hi=self.outer[0])
         if number == 1:
-            return Fragment(number, "high", self.column, lo=self.end)
+            return Fragment(number, "high", self.column, lo=self.outer[1])
         if self.kind == "int":
             lo = self.start + (number - 2) * self.step
             return Fragment(number, "range", self.column, lo, min(lo + self.step, self.end))
@@ -158,6 +179,17 @@ def fragments_enum(column: str, values) -> FragmentSpec:
     return FragmentSpec(_named(column), "enum", values=values)
 
 
+def fragments_cuts(column: str, bounds) -> FragmentSpec:
+    """Ranges between listed bounds: below the first, from the last on, and the steps
+    between neighbours."""
+    bounds = tuple(bounds)
+    if not bounds:
+        raise ValueError("at least one bound is needed")
+    if any(not a < b for a, b in zip(bounds, bounds[1:], strict=False)):
+        raise ValueError("bounds must rise")
+    return FragmentSpec(_named(column), "cuts", values=bounds)
+
+
 def parse_fragment_spec(
     partition_by: str, range_: str | None, interval: str | None = None
 ) -> FragmentSpec:

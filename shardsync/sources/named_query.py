@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -56,7 +57,8 @@ def read_named_query(
     """Run a saved query over ``views`` in Spark, or on every ``jdbc`` shard.
 
     With ``spec`` the result is fragmented: remotely one task per fragment, in
-    Spark through ``fragment_column``.
+    Spark through ``fragment_column``. The names of ``views`` are the query's alone: the
+    session's own views of these names are back once the query is planned.
     """
     text = query_text(spark, directory, source)
     if jdbc is not None:
@@ -68,7 +70,22 @@ def read_named_query(
             fragment_column=fragment_column,
             **read_options,
         )
-    for name, view in (views or {}).items():
-        view.createOrReplaceTempView(name)
-    df = spark.sql(text)
+    with _visible(spark, views or {}):
+        df = spark.sql(text)
     return df if fragment_column is None else assign_fragment(df, spec, fragment_column)
+
+
+@contextmanager
+def _visible(spark: SparkSession, views: Mapping[str, DataFrame]) -> Iterator[None]:
+    catalog = spark.catalog
+    own = {n: spark.table(n) for n in views if catalog.tableExists(n) and catalog.getTable(n).isTemporary}
+    try:
+        for name, view in views.items():
+            view.createOrReplaceTempView(name)
+        yield
+    finally:
+        for name in views:
+            if name in own:
+                own[name].createOrReplaceTempView(name)
+            else:
+                catalog.dropTempView(name)

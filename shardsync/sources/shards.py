@@ -22,6 +22,7 @@ from shardsync.operators.routing import SHARD
 from shardsync.operators.schema import align_schema, column
 from shardsync.operators.tables import decode_row
 from shardsync.plans.dialects import dialect_for
+from shardsync.plans.domains import Domain, prune_fragments
 from shardsync.plans.fragments import FragmentSpec
 from shardsync.plans.lattice import common_schema
 from shardsync.sources.replicas import Probe, choose_replicas, folder_probe
@@ -151,6 +152,7 @@ def read_sharded(
     columns: Sequence[str] | None = None,
     plan: FragmentSpec | None = None,
     fragments: Iterable[int] | None = None,
+    within: Domain | None = None,
     fragment_column: str | None = None,
     shard_column: str | None = None,
     fmt: str = "parquet",
@@ -173,25 +175,33 @@ def read_sharded(
 
     With a ``plan``, a JDBC shard is read by one task per fragment; files are cut
     by Spark itself. ``fragments`` keeps some fragments only (pushed to the scan),
-    ``fragment_column`` and ``shard_column`` add where a row came from. The
+    ``within`` keeps the rows of a domain of the plan's column and plans only the
+    fragments that can hold any. ``fragment_column`` and ``shard_column`` add where a row
+    came from. The
     ``dialect`` of JDBC predicates follows from the URL unless it is given.
     """
     jdbc = all_jdbc(shards)
     if fmt not in FORMATS:
         raise ValueError(f"format must be one of {', '.join(FORMATS)}, not {fmt!r}")
-    if plan is None and (fragments is not None or fragment_column):
+    if plan is None and (fragments is not None or fragment_column or within is not None):
         raise ValueError("fragments need a plan")
     schema = as_schema(schema) if schema is not None else None
     chosen = None if fragments is None else list(fragments)
+    if within is not None:
+        reached = prune_fragments(plan, within)
+        chosen = reached if chosen is None else [n for n in reached if n in set(chosen)]
     shards = _answering(spark, shards, table, jdbc, probe)
     if jdbc:
         # jdbc:<database>:..., the host name must not count
         dialect = dialect or dialect_for(shards[0].primary.split(":")[1])
+        predicates = jdbc_predicates(plan, chosen, dialect, quote)
+        if predicates == []:
+            predicates = ["1 = 0"]  # no fragment is left, the columns are
         frames = [
             spark.read.jdbc(
                 s.primary,
                 table,
-                predicates=jdbc_predicates(plan, chosen, dialect, quote),
+                predicates=predicates,
                 properties=jdbc_options(options),
             )
             for s in shards
@@ -202,6 +212,8 @@ def read_sharded(
         df = _read_files(spark, shards, table, schema, fmt, options or {}, at)
         if chosen is not None:
             df = keep_fragments(df, plan, chosen)
+    if within is not None:
+        df = df.where(within.to_column(plan.column))
     if replica_column:
         names = F.array(*(F.lit(s.primary) for s in shards))
         df = df.withColumn(replica_column, F.get(names, column(shard_column or SHARD)))
