@@ -53,7 +53,7 @@ def write_token_files(
             for batch in batches:
                 for lo, hi, _, _ in pieces_of(batch.column(1)):
                     rows = batch.column(1)[lo:hi].to_pylist()
-                    for ids in encoder(tokenizer).encode([t or "" for t in rows]):
+                    for ids in encoder(tokenizer, special=False).encode([t or "" for t in rows]):
                         ids = np.frombuffer(ids, "<u4")
                         if len(ids) and (ids.max() > most or (ids == end_id).any()):
                             raise ValueError("a text's ids don't fit the token file")

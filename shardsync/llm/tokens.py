@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import public_tokenizers
@@ -12,35 +13,74 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 #: A byte-level vocabulary starts a new piece at every blank before a non-blank.
 _CUT = re.compile(r" (?=\S)")
+#: Blanks inside a piece: such a piece is encoded by itself.
+_ODD = re.compile(r"\s")
 _CACHED_LENGTH = 64
-_CACHE_SIZE = 500_000
+#: Pieces in each of the two generations that are remembered.
+_CACHE_SIZE = 300_000
+#: New pieces that are encoded as one text.
+_TOGETHER = 8_192
 
 
 class Encoder:
     """Ids of whole texts. Texts are cut where the vocabulary's own rule always
-    cuts, and the ids of pieces met before are looked up."""
+    cuts, and the ids of pieces met before are looked up. Without ``special``, the
+    names of special tokens are plain text; with it, they get their ids, as the
+    tokenizer does by itself.
 
-    def __init__(self, path: str):
+    New pieces are encoded many at a time as one text, and its ids are cut where one
+    begins with the blank. When a generation of known pieces is full it becomes the old
+    one, and pieces that are met again move to the new one."""
+
+    def __init__(self, path: str, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._tokenizer.encode_special_tokens = not special
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, number in vocabulary.items():
+            self._begins[number] = token.startswith("\u0120")
         self._known: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self._known) > _CACHE_SIZE:
-            self._known.clear()
+            self._old, self._known = self._known, {}
         parts = [_CUT.split(t) for t in texts]
-        known, long = self._known, {}
+        known, old, long = self._known, self._old, {}
         first = self._ids([p[0] for p in parts])
         new = {w for p in parts for w in p[1:] if w not in known}
-        for w, ids in zip(new, self._ids([" " + w for w in new]), strict=True):
+        met = [w for w in new if w in old]
+        for w in met:
+            known[w] = old[w]
+        new.difference_update(met)
+        for w, ids in self._new(new):
             (known if len(w) <= _CACHED_LENGTH else long)[w] = ids
         find = (lambda w: known.get(w) or long[w]) if long else known.__getitem__
         return [f + b"".join(map(find, p[1:])) for f, p in zip(first, parts, strict=True)]
 
+    def _new(self, pieces: set[str]) -> Iterator[tuple[str, bytes]]:
+        plain = [w for w in pieces if not _ODD.search(w)]
+        for at in range(0, len(plain), _TOGETHER):
+            some = plain[at : at + _TOGETHER]
+            yield from zip(some, self._together(some), strict=True)
+        odd = [w for w in pieces if _ODD.search(w)]
+        yield from zip(odd, self._ids([" " + w for w in odd]), strict=True)
+
+    def _together(self, pieces: list[str]) -> list[bytes]:
+        import numpy as np
+
+        ids = np.array(self._tokenizer.encode(" " + " ".join(pieces), add_special_tokens=False).ids, "<u4")
+        starts = np.flatnonzero(self._begins[ids])
+        if len(starts) != len(pieces):  # a vocabulary without that mark
+            return self._ids([" " + w for w in pieces])
+        data, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
@@ -49,6 +89,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder for each Python worker and file."""
-    return Encoder(path)
+def encoder(path: str, special: bool = True) -> Encoder:
+    """One encoder for each Python worker, file and setting."""
+    return Encoder(path, special)

@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shardsync.llm.common import held_out, written
 
 FOLDS = 3
+#: A key that weighs less is in no lexicon.
+LEAST_WEIGHT = 1.0
 PREFIXES = (4, 5, 6, 7)
 #: Words that speak to the reader, in English, French, German and Spanish.
 SECOND_PERSON = frozenset(
@@ -25,6 +30,10 @@ SECOND_PERSON = frozenset(
 #: Signs and digits that stand in for letters.
 _LOOKALIKES = str.maketrans("013457@$!|", "oieastasii")
 _KNOWN = 200_000
+#: Longer tokens are known by their digest, and their form isn't remembered.
+_LONG = 256
+#: Words that a sign joins to one token.
+_JOINED = re.compile(r"(?<=[^\W\d_])[,/\\_\-\u2013\u2014;:|]+(?=[^\W\d_])")
 #: Tokens whose form is remembered; only speed depends on it.
 _FORMS = 1 << 16
 #: Facts about one token; each is summed over a text.
@@ -35,6 +44,14 @@ FEATURES = (
 )
 
 
+def words_of(token: str) -> list[str]:
+    """A token, or the words of two letters and more that signs join to it."""
+    if token.isalpha():
+        return [token]
+    parts = _JOINED.split(token)
+    return parts if len(parts) > 1 and min(map(len, parts)) > 1 else [token]
+
+
 @lru_cache(maxsize=_FORMS)
 def canonical(token: str) -> str:
     """Lower case, look-alikes turned back between letters, other signs removed."""
@@ -65,6 +82,11 @@ def form_of(token: str) -> tuple[float, ...]:
     )
 
 
+def _form(made: Callable, token: str):
+    """What a cached function makes of a token; long ones don't fill its cache."""
+    return made(token) if len(token) <= _LONG else made.__wrapped__(token)
+
+
 @dataclass
 class Lexicon:
     """How much likelier a word, or a beginning of words, makes a text toxic: the log
@@ -73,10 +95,13 @@ class Lexicon:
     weights: dict[str, float]
 
     def facts(self, token: str) -> tuple[float, ...]:
-        word, *starts = keys_of(canonical(token))
-        known = self.weights.get(word, 0.0)
-        start = max((self.weights.get(k, 0.0) for k in starts), default=0.0)
-        return (1.0, known, start, known >= 3.0, start >= 1.5, *form_of(token))
+        """Facts about a whole token; of words joined in it, those that weigh most."""
+        known = start = 0.0
+        for part in words_of(token):
+            word, *starts = _form(keys_of, _form(canonical, part))
+            known = max(known, self.weights.get(word, 0.0))
+            start = max(start, max((self.weights.get(k, 0.0) for k in starts), default=0.0))
+        return (1.0, known, start, known >= 3.0, start >= 1.5, *_form(form_of, token))
 
 
 class Reader:
@@ -95,13 +120,16 @@ class Reader:
         if len(number) > _KNOWN:
             self._reset()
             number = self._number
-        for token in set(tokens) - number.keys():
+        names = tokens
+        if max(map(len, tokens)) > _LONG:
+            names = [t if len(t) <= _LONG else xxhash.xxh3_128_digest(t.encode()) for t in tokens]
+        for name, token in {n: t for n, t in zip(names, tokens, strict=True) if n not in number}.items():
             at = len(number)
             if at == len(self._table):
                 self._table = np.concatenate([self._table, np.zeros_like(self._table)])
-            self._table[at] = self._lexicon.facts(token[:256])
-            number[token] = at
-        return np.fromiter(map(number.__getitem__, tokens), np.int64, len(tokens))
+            self._table[at] = self._lexicon.facts(token)
+            number[name] = at
+        return np.fromiter(map(number.__getitem__, names), np.int64, len(tokens))
 
     def read(self, text: str | None) -> list[float]:
         tokens = (text or "").split()
@@ -146,18 +174,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = 20_000) -> Dat
     return written(joined.select("text", "label", fold), "toxic-rows")
 
 
-def learn_lexicons(rows: DataFrame, most: int = 20_000) -> list[Lexicon]:
+def learn_lexicons(rows: DataFrame) -> list[Lexicon]:
     """One lexicon for each fold, learned from the other folds, and one from all.
 
     A key counts once for each document; the odds are shrunk by five documents of the
-    overall kind. The ``most`` keys in the most toxic documents are weighed."""
+    overall kind. All keys in three toxic documents or more are weighed, in Spark, and
+    those that weigh enough make the lexicons: their number is bounded by the sample."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: Counter = Counter()
             for text, label, fold in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = {canonical(t[:256]) for t in set((text or "").split())} - {""}
-                seen.update((k, fold, label) for k in {k for w in words for k in keys_of(w)})
+                parts = {w for t in set((text or "").split()) for w in words_of(t)}
+                words = {_form(canonical, w) for w in parts} - {""}
+                seen.update((k, fold, label) for k in {k for w in words for k in _form(keys_of, w)} if len(k) <= _LONG)
             cols = list(zip(*((*k, n) for k, n in seen.items()), strict=True)) or [()] * 4
             kinds = (pa.string(), pa.int32(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -171,24 +201,23 @@ def learn_lexicons(rows: DataFrame, most: int = 20_000) -> list[Lexicon]:
         for f in range(FOLDS) for v in (0, 1)
     ]
     toxic = sum((F.col(f"n{f}_1") for f in range(1, FOLDS)), F.col("n0_1"))
-    table = seen.groupBy("key").agg(*columns).where(toxic >= 3).orderBy(toxic.desc(), "key").limit(most).collect()
-
-    def lexicon(folds: list[int]) -> Lexicon:
-        bad, good = (sum(size.get((f, float(v)), 0) for f in folds) for v in (1, 0))
-        if not bad or not good:
-            return Lexicon({})
-        prior = bad / (bad + good)
-        out = {}
-        for r in table:
-            t, c = (sum(r[f"n{f}_{v}"] for f in folds) for v in (1, 0))
-            rate = (t + 5 * prior) / (t + c + 5)
-            weight = math.log(rate / (1 - rate)) - math.log(prior / (1 - prior))
-            if weight > 1:
-                out[r.key] = weight
-        return Lexicon(out)
-
     every = list(range(FOLDS))
-    return [*(lexicon([g for g in every if g != f]) for f in every), lexicon(every)]
+    learned_from = [*([g for g in every if g != f] for f in every), every]
+    weights = [_weight(folds, size).alias(f"w{i}") for i, folds in enumerate(learned_from)]
+    heavy = F.greatest(*(f"w{i}" for i in range(len(learned_from)))) > LEAST_WEIGHT
+    table = seen.groupBy("key").agg(*columns).where(toxic >= 3).select("key", *weights).where(heavy).collect()
+    return [Lexicon({r.key: r[f"w{i}"] for r in table if r[f"w{i}"] > LEAST_WEIGHT}) for i in range(len(learned_from))]
+
+
+def _weight(folds: list[int], size: dict) -> Column:
+    """The log of a key's odds ratio by the documents of some folds."""
+    bad, good = (sum(size.get((f, float(v)), 0) for f in folds) for v in (1, 0))
+    if not bad or not good:
+        return F.lit(0.0)
+    prior = bad / (bad + good)
+    toxic, clean = (reduce(add, (F.col(f"n{f}_{v}") for f in folds)) for v in (1, 0))
+    rate = (toxic + 5 * prior) / (toxic + clean + 5)
+    return F.log(rate / (1 - rate)) - math.log(prior / (1 - prior))
 
 
 def _per_text(

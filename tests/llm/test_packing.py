@@ -18,6 +18,13 @@ from shardsync.llm.tokens import TOKENIZER, Encoder
 
 @pytest.fixture(scope="module")
 def tokenizer():
+    """As it comes: names of special tokens get their ids."""
+    return Tokenizer.from_file(TOKENIZER)
+
+
+@pytest.fixture(scope="module")
+def plain_tokenizer():
+    """Token files keep the separator for themselves: its name is plain text there."""
     made = Tokenizer.from_file(TOKENIZER)
     made.encode_special_tokens = True
     return made
@@ -52,6 +59,28 @@ def check_packing(tokenizer, docs, rows, size):
     return len(by_bin)
 
 
+def test_special_tokens(tokenizer):
+    text = "a <|endoftext|> b<|endoftext|>c  <|endoftext|>\n<|endoftext|>"
+    assert ids_of(tokenizer, "a <|endoftext|> b") == [64, 220, 50256, 275]
+    for special in (True, False):
+        made = Tokenizer.from_file(TOKENIZER)
+        made.encode_special_tokens = not special
+        ids = np.frombuffer(Encoder(TOKENIZER, special).encode([text])[0], "<u4").tolist()
+        assert ids == ids_of(made, text)
+
+
+def test_encoder_remembers_two_generations(tokenizer, monkeypatch):
+    from shardsync.llm import tokens
+
+    monkeypatch.setattr(tokens, "_CACHE_SIZE", 40)
+    monkeypatch.setattr(tokens, "_TOGETHER", 7)
+    made = Encoder(TOKENIZER)
+    for k in range(30):
+        texts = [" ".join(f"w{(k * j) % 97}é'{j}" for j in range(20)), f"only{k} \u3000x it's \u0301y 12,5 {'z' * 90}"]
+        for text, ids in zip(texts, made.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, text)
+
+
 def test_encoder_cuts_where_the_tokenizer_does(tokenizer):
     texts = [t or "" for _, t in AWKWARD] + ["a  b", "a \n b", " x", "x 　y", "\n\n  a\t b", " "]
     encoder = Encoder(TOKENIZER)
@@ -95,10 +124,10 @@ def test_the_fullest_bin_closes_first():
     assert bins.place(10) == (3, 0)
 
 
-def test_token_counts(spark, tokenizer):
+def test_token_counts(spark, plain_tokenizer):
     docs = [r for r in AWKWARD if r[0] != 6]
     found = {r.doc_id: r.n_tokens for r in count_tokens(documents(spark, docs, extra=True)).collect()}
-    assert found == {i: len(ids_of(tokenizer, t)) for i, t in docs}
+    assert found == {i: len(ids_of(plain_tokenizer, t)) for i, t in docs}
     assert count_tokens(documents(spark, AWKWARD)).where("doc_id = 6").count() == 2
     assert count_tokens(documents(spark, AWKWARD).limit(0)).count() == 0
 
