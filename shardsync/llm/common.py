@@ -88,6 +88,11 @@ def located(docs: DataFrame, *columns: Column | str) -> DataFrame:
     return file_backed(docs).select(*columns, _place().alias("at"))
 
 
+def quoted(name: str) -> str:
+    """A column's name as it is, whatever signs are in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z in lower case, other letters as they are. Plain ASCII takes the fast way."""
     ascii_only = F.octet_length(c) == F.char_length(c)

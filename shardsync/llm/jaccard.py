@@ -2,28 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from shardsync.llm.common import file_backed, located, pieces_of, written
-from shardsync.llm.graph import components
-from shardsync.llm.words import BLANKS, mix, shingles, words
+from shardsync.llm.common import written
+from shardsync.llm.joins import Tile, keyed_documents, linked_rows, named_classes, set_id, text_sets
+from shardsync.llm.words import mix
 
 #: Keys of a set, and minima that make one key.
 KEYS, ROWS = 32, 3
-#: Sets, and shingles of sets, that a tile holds about.
-TILE, TILE_SHINGLES = 512, 1 << 21
-#: Times that a bucket of more than one tile is split by further keys, and keys each time.
-LEVELS, PATHS = 3, 2
 #: Bits of the signature of the smallest and the largest sets.
 FEWEST_BITS, MOST_BITS = 256, 1 << 15
-#: Bits of the table that tells which rows' texts are read again.
-WANTED_BITS = 1 << 25
 
 _k = np.arange(KEYS * ROWS, dtype=np.uint64)
 _FACTORS = mix(_k * np.uint64(2) + np.uint64(501)) | np.uint64(1)
@@ -72,19 +64,6 @@ def set_keys(found: np.ndarray) -> np.ndarray:
     return out
 
 
-def set_id(found: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(found.tobytes())
-
-
-def text_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
-    """The shingle set of each text, as sorted hashes."""
-    for _, _, data, offsets in pieces_of(texts):
-        starts, _, hashes = words(data, offsets, BLANKS)
-        cuts = np.searchsorted(starts, offsets)
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            yield shingles(hashes[a:b], size)
-
-
 def _sketches(rows: DataFrame, size: int, percent: int) -> DataFrame:
     """``doc_id``, ``row_key``, ``n``; for sets with shingles ``node``, ``keys``, ``bits``."""
 
@@ -112,27 +91,11 @@ def _sketches(rows: DataFrame, size: int, percent: int) -> DataFrame:
     )
 
 
-class Tile:
-    """Sets of a bucket: nodes, components, sizes, signatures, maybe the sets, and which
-    of them must meet the others (null: all)."""
+class BandedTile(Tile):
+    """A tile that compares neighbouring size bands by their signatures."""
 
-    def __init__(self, table: pa.Table, percent: int):
-        table = table.combine_chunks()
-        self.percent = percent
-        self.nodes = table["node"].to_pylist()
-        self.comps = np.unique(np.array(table["comp"].to_pylist(), object), return_inverse=True)[1]
-        self.n = np.asarray(table["n"])
-        self.bits = table["bits"].to_pylist()
-        self.minor = np.asarray(table["minor"].fill_null(True))
-        self.sets = None
-        if "found" in table.column_names:
-            column = table["found"].combine_chunks()
-            column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-            flat, at = np.asarray(column.values).view(np.uint64), np.asarray(column.offsets)
-            self.sets = [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
-
-    def close(self) -> np.ndarray:
-        """Pairs of different components that may be alike. Differing signature bits are
+    def may_be_alike(self) -> np.ndarray:
+        """Pairs that may be alike. Differing signature bits are
         at most as many as shingles that only one of two sets has, so they bound the
         overlap from above."""
         size = len(self.n)
@@ -155,8 +118,7 @@ class Tile:
                         fit = self._fit(rows, mine[at : at + step], members[other], theirs)
                         out[np.ix_(rows, members[other])] |= fit
                         out[np.ix_(members[other], rows)] |= fit.T
-        out &= self.comps[:, None] != self.comps
-        return out & (self.minor[:, None] | self.minor)
+        return out
 
     def _fit(self, a: np.ndarray, mine: np.ndarray, b: np.ndarray, theirs: np.ndarray) -> np.ndarray:
         apart = np.bitwise_count(mine[:, None] ^ theirs[None]).sum(axis=2, dtype=np.int64)
@@ -164,182 +126,6 @@ class Tile:
         both = np.minimum((total - apart) // 2, np.minimum(self.n[a][:, None], self.n[b]))
         return 100 * both >= self.percent * (total - both)
 
-    def alike(self, i: int, j: int) -> bool:
-        a, b = self.sets[i], self.sets[j]
-        at = np.searchsorted(a, b)
-        at[at == len(a)] = 0
-        both = int((a[at] == b).sum())
-        return 100 * both >= self.percent * (len(a) + len(b) - both)
-
-    def forest(self) -> list[tuple[bytes, bytes]]:
-        """Pairs that would join all that may be alike, from the best connected on."""
-        close = self.close()
-        left, out = close.any(axis=1), []
-        for start in np.argsort(-close.sum(axis=1), kind="stable"):
-            queue = [start] if left[start] else []
-            left[start] = False
-            while queue:
-                i = queue.pop()
-                met = np.flatnonzero(close[i] & left)
-                left[met] = False
-                queue += met.tolist()
-                out += [(self.nodes[i], self.nodes[j]) for j in met]
-        return out
-
-    def near(self) -> list[bytes]:
-        return [self.nodes[i] for i in np.flatnonzero(self.close().any(axis=1))]
-
-    def links(self) -> list[tuple[bytes, bytes]]:
-        """Links between components, as many as join all that are alike."""
-        root = list(range(int(self.comps.max()) + 1))
-
-        def of(c: int) -> int:
-            while root[c] != c:
-                root[c] = c = root[root[c]]
-            return c
-
-        out = []
-        for i, j in np.argwhere(np.triu(self.close())):
-            a, b = of(int(self.comps[i])), of(int(self.comps[j]))
-            if a != b and self.alike(i, j):
-                root[a] = b
-                out.append((self.nodes[i], self.nodes[j]))
-        return out
-
-
-def _by_tile(rows: DataFrame, percent: int, look: Callable[[Tile], list[tuple]], kinds: str) -> DataFrame:
-    """What ``look`` finds in each tile of ``rows`` (``tile``, ``node``, ``comp``,
-    ``minor``, ``n``, ``bits``, maybe ``found``). A tile's rows follow each other in a
-    partition; a task holds one tile and one batch."""
-    names = [k.split()[0] for k in kinds.split(", ")]
-    types = [pa.int64() if "long" in k else pa.binary() for k in kinds.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-
-        def ended() -> list[tuple]:
-            table = pa.concat_tables(held)
-            held.clear()
-            if table.num_rows < 2:
-                return []
-            key = table["tile"][0].as_py()
-            return [(key, *x) if "tile" in names else x for x in look(Tile(table, percent))]
-
-        def out(found: list[tuple]) -> pa.RecordBatch:
-            columns = zip(*found, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
-            )
-
-        for batch in batches:
-            table, found = pa.Table.from_batches([batch]), []
-            key = np.asarray(table["tile"])
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                if held and b > a and held[0]["tile"][0].as_py() != key[a]:
-                    found += ended()
-                if b > a:
-                    held.append(table.slice(a, b - a))
-            if found:
-                yield out(found)
-        if held and (found := ended()):
-            yield out(found)
-
-    return rows.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(run, kinds)
-
-
-class _Join:
-    """What the steps of one join share: the sets' facts, links found so far, components."""
-
-    def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, percent: int):
-        self.docs, self.nodes, self.size, self.percent = docs, nodes, size, percent
-        self.links: DataFrame | None = None
-        self.labels: DataFrame | None = None
-
-    def add(self, links: DataFrame) -> None:
-        if not links.isEmpty():
-            self.links = links if self.links is None else self.links.unionAll(links)
-            self.labels = components(self.links)
-
-    def labelled(self, members: DataFrame) -> DataFrame:
-        members = members.drop("comp")
-        if self.labels is None:
-            return members.withColumn("comp", F.col("node"))
-        return members.join(self.labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-
-    def sets_of(self, wanted: DataFrame) -> DataFrame:
-        """``node``, ``found``: the sets of the nodes in ``wanted``. Only their texts, and
-        those of a few rows with equal table cells, are shuffled: a table of bits of
-        fixed size is sent to the tasks that read the documents."""
-        wanted = written(wanted.select("node").distinct().join(self.nodes.select("node", "row_key"), "node"), "wanted")
-        cell = F.pmod("row_key", F.lit(WANTED_BITS))
-        words_ = wanted.groupBy(F.floor(cell / 32).alias("word")).agg(
-            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 32).cast("int"))).alias("bits")
-        )
-        # at most WANTED_BITS / 32 rows, whatever the number of documents
-        table, got = np.zeros(WANTED_BITS // 32, np.uint32), words_.toArrow()
-        table[np.asarray(got["word"])] = np.asarray(got["bits"])
-        size = self.size
-
-        def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                at = np.mod(np.asarray(batch.column("row_key")), WANTED_BITS)
-                hit = (table[at // 32] >> (at % 32).astype(np.uint32)) & 1
-                if hit.any():
-                    yield batch.filter(pa.array(hit.astype(bool)))
-
-        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for lo in range(0, batch.num_rows, 64):
-                    part = batch.slice(lo, 64)
-                    found = list(text_sets(part.column("text"), size))
-                    own = [set_id(x) == k for x, k in zip(found, part.column("node").to_pylist(), strict=True)]
-                    at = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-                    flat = pa.array(np.concatenate(found).view(np.int64))
-                    made = pa.RecordBatch.from_arrays(
-                        [part.column("node"), pa.ListArray.from_arrays(at, flat)], ["node", "found"]
-                    )
-                    yield made.filter(pa.array(own))
-
-        rows = self.docs.select("row_key", "text").mapInArrow(among, "row_key long, text string")
-        rows = rows.hint("merge").join(wanted, "row_key")
-        return written(rows.select("text", "node").mapInArrow(build, "node binary, found array<long>"), "sets")
-
-    def compare(self, tiles: DataFrame, guess: bool) -> None:
-        """Find all links between components in ``tiles`` (``tile``, ``node``, ``minor``).
-        With ``guess``, first check pairs that would join all that may be alike: after
-        that, few pairs of different components are left to be compared in full."""
-        facts = self.nodes.select("node", "n", "bits")
-        if guess:
-            rows = self.labelled(tiles).join(facts, "node")
-            pairs = _by_tile(rows, self.percent, Tile.forest, "a binary, b binary")
-            pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-            sets = self.sets_of(pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")))
-            self.add(self._checked(pairs, sets))
-        rows = self.labelled(tiles).join(facts, "node")
-        near = _by_tile(rows, self.percent, lambda t: [(x,) for x in t.near()], "tile long, node binary")
-        near = written(near, "near")
-        if near.isEmpty():
-            return
-        rows = self.labelled(tiles.join(near, ["tile", "node"])).join(facts, "node").join(self.sets_of(near), "node")
-        self.add(written(_by_tile(rows, self.percent, Tile.links, "a binary, b binary"), "links"))
-
-    def _checked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """Those of ``pairs`` that are alike, as tiles of two."""
-        numbered = pairs.withColumn("tile", F.xxhash64("a", "b"))
-        both = numbered.select("tile", F.col("a").alias("node")).unionAll(
-            numbered.select("tile", F.col("b").alias("node"))
-        )
-        rows = (
-            both.withColumn("comp", F.concat("node", F.encode(F.col("tile").cast("string"), "utf-8")))
-            .withColumn("minor", F.lit(True))
-            .join(self.nodes.select("node", "n", "bits"), "node").join(sets, "node")
-        )
-        return written(_by_tile(rows, self.percent, Tile.links, "a binary, b binary"), "links")
-
-
-def _tiles_needed() -> Column:
-    return F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_SHINGLES))
 
 
 def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -366,91 +152,6 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     Signatures and intersections are exact. Two sets at the limit share no key in one of
     10 ** 10 cases; above it that is rarer still."""
-    docs = located(file_backed(docs), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.select("doc_id", "text", F.xxhash64("at.file", "at.row").alias("row_key"))
+    docs = keyed_documents(docs)
     sketched = written(_sketches(docs, size, percent), "sketches")
-    firsts = [F.first(c).alias(c) for c in ("n", "keys", "bits")]
-    nodes = written(
-        sketched.where("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key"), *firsts), "nodes"
-    )
-    join = _Join(docs, nodes, size, percent)
-    every = nodes.select("node", "n", F.posexplode("keys").alias("i", "key"))
-    shared = every.groupBy("key").agg(F.count("*").alias("sets"), _tiles_needed().alias("tiles")).where("sets > 1")
-    members = written(every.join(shared.drop("sets"), "key"), "members")
-    join.compare(_dealt(members, 0), True)
-    large = members.where("tiles > 1")
-    for level in range(1, LEVELS + 1):
-        large = _mixed(join, large)
-        if large.isEmpty():
-            break
-        large = _split(large, nodes, level)
-        join.compare(_dealt(large, level), False)
-        large = large.where("tiles > 1")
-    else:
-        large = _mixed(join, large)
-        if not large.isEmpty():
-            join.compare(_facing(large), False)
-    named = sketched.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    named = written(join.labelled(named), "named")
-    names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of = written(named.join(names, "comp").select("node", "component_id"), "classes")
-    found = sketched.select("doc_id", "n", "node").join(of, "node", "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-
-
-def _dealt(members: DataFrame, level: int) -> DataFrame:
-    """Members (``key``, ``tiles``) in their tiles; a key of several deals by hash."""
-    part = F.pmod(F.xxhash64("node", "key", F.lit(level)), F.col("tiles"))
-    return members.select(F.xxhash64("key", part).alias("tile"), "node", F.lit(True).alias("minor"))
-
-
-def _mixed(join: _Join, members: DataFrame) -> DataFrame:
-    """Members of keys whose sets are in several components."""
-    placed = written(join.labelled(members), "placed")
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    return written(placed.join(mixed.select("key"), "key"), "mixed")
-
-
-def _split(members: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
-    """Members by pairs of their key and one of ``PATHS`` further keys, where these are
-    shared by sets of several components."""
-    steps = F.array(*(F.lit((level - 1) * PATHS + p + 1) for p in range(PATHS)))
-    paths = members.withColumn("step", F.explode(steps)).join(nodes.select("node", "keys"), "node")
-    other = F.element_at("keys", (F.pmod(F.col("i") + F.col("step"), F.lit(KEYS)) + 1).cast("int"))
-    rows = written(
-        paths.select(F.xxhash64("key", "step", other).alias("key"), "i", "node", "n", "comp"), "split"
-    )
-    sizes = rows.groupBy("key").agg(
-        F.min("comp").alias("low"), F.max("comp").alias("high"), _tiles_needed().alias("tiles")
-    )
-    return written(rows.join(sizes.where("low < high").select("key", "tiles"), "key"), "split")
-
-
-def _facing(members: DataFrame) -> DataFrame:
-    """Tiles of half the size of blocks: sets outside their key's largest component, a
-    block of them with each block of all sets of the key."""
-    by_comp = members.groupBy("key", "comp").agg(F.count("*").alias("sets"))
-    major = by_comp.groupBy("key").agg(F.max(F.struct("sets", "comp"))["comp"].alias("major"))
-    placed = members.join(major, "key").withColumn("minor", F.col("comp") != F.col("major"))
-    sizes = placed.groupBy("key").agg(
-        (2 * _tiles_needed()).alias("all_blocks"),
-        (2 * F.greatest(F.ceil(F.sum(F.col("minor").cast("int")) / TILE),
-                        F.ceil(F.sum(F.when(F.col("minor"), F.col("n"))) / TILE_SHINGLES))).alias("minor_blocks"),
-    )
-    placed = written(placed.join(sizes, "key"), "facing")
-    h = F.xxhash64("node", "key", F.lit(-1))
-
-    def all_of(c: str):
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
-
-    few = placed.where("minor").select(
-        "key", "node", F.lit(True).alias("minor"), F.pmod(h, F.col("minor_blocks")).alias("x"),
-        all_of("all_blocks").alias("y"),
-    )
-    rest = placed.select(
-        "key", "node", F.lit(False).alias("minor"), all_of("minor_blocks").alias("x"),
-        F.pmod(h, F.col("all_blocks")).alias("y"),
-    )
-    rows = few.unionAll(rest).groupBy("key", "x", "y", "node").agg(F.max("minor").alias("minor"))
-    return rows.select(F.xxhash64("key", "x", "y").alias("tile"), "node", "minor")
+    return named_classes(linked_rows(docs, sketched, size, lambda t: BandedTile(t, percent), KEYS))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from helpers_llm import AWKWARD, documents, read, words
-from shardsync.llm import jaccard
+from shardsync.llm import joins
 from shardsync.llm.jaccard import (
     bits_for, folded, jaccard_classes, set_keys, signature, size_bands,
 )
@@ -71,8 +71,8 @@ def family(rng, edits, copies, words_=60):
 def test_families_and_a_shared_passage(spark, monkeypatch, tile, levels):
     """Copies that are close to one text but often not to each other, and documents
     that share a passage and nothing else; in tiles that hold few of them."""
-    monkeypatch.setattr(jaccard, "TILE", tile)
-    monkeypatch.setattr(jaccard, "LEVELS", levels)
+    monkeypatch.setattr(joins, "TILE", tile)
+    monkeypatch.setattr(joins, "LEVELS", levels)
     rng = random.Random(tile)
     texts = [*family(rng, 2, 60), *family(rng, 5, 60)]
     passage = " ".join(f"p{k}" for k in range(40))
