@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,10 +66,21 @@ class Model:
     escaped: list[Lookup]
     nothing: np.ndarray
 
-    def bits(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Code length in bits of each text under each language."""
-        n, k = len(data), len(self.names)
-        grams = _grams(data, offsets, self.order)
+    def bits(self, data: np.ndarray, offsets: np.ndarray, window: int = 1 << 19) -> np.ndarray:
+        """Code length in bits of each text under each language. Bytes are coded a window
+        at a time, each with the bytes before it, so memory doesn't grow with a text."""
+        out = np.zeros((len(offsets) - 1, len(self.names)))
+        for at in range(0, len(data), window):
+            end, lo = min(len(data), at + window), max(0, at - self.order)
+            grams = _grams(data[lo:end], np.clip(offsets, lo, end) - lo, self.order)[at - lo :]
+            sums = np.zeros((end - at + 1, len(self.names)))
+            np.cumsum(self._coded(grams), axis=0, dtype=np.float64, out=sums[1:])
+            places = np.clip(offsets, at, end) - at
+            out += sums[places[1:]] - sums[places[:-1]]
+        return out
+
+    def _coded(self, grams: np.ndarray) -> np.ndarray:
+        """The bits of each byte under each language."""
         row = self.coded[self.order].find(grams)
         total = self.coded[self.order].rows.take(row, axis=0, mode="wrap")
         left = np.flatnonzero(row < 0)
@@ -86,9 +97,7 @@ class Model:
                 break
             left = self._escape(total, left, keys >> np.uint64(8), size)
         total[left] += self.nothing
-        ends = np.zeros((n + 1, k))
-        np.cumsum(total, axis=0, dtype=np.float64, out=ends[1:])
-        return ends[offsets[1:]] - ends[offsets[:-1]]
+        return total
 
     def _escape(self, total: np.ndarray, left: np.ndarray, contexts: np.ndarray, size: int):
         row = self.escaped[size].find(contexts)
@@ -189,27 +198,55 @@ def _union(keys: Iterator[np.ndarray]) -> np.ndarray:
 
 
 def training_sample(
-    docs: DataFrame, rows: int = 2000, most_bytes: int = 16_384
+    docs: DataFrame, rows: int = 2000, most_bytes: int = 16_384, languages: int = 256
 ) -> list[tuple[str, str]]:
-    """About ``rows`` (language, text) pairs, spread over the languages; texts above
-    ``most_bytes`` are not learned from. Held-out rows never are."""
+    """At most about ``rows`` (language, text) pairs, as many of each language as there are
+    rows for it, one at least. Held-out rows are never learned from.
+
+    Rows are drawn within their language by a hash of id and text, and rows that are equal
+    in both count once, so no language, id or copy crowds out others. Of a longer text
+    four windows spread over all of it are learned, ``most_bytes`` characters together.
+    ``languages`` bounds how many are learned: those with the most texts (about; ties by name)."""
+    scale, quarter = 1 << 40, most_bytes // 4
+    n = F.length("text")
+    starts = [F.floor((n - quarter) * k / 3).cast("int") + 1 for k in range(4)]
+    windows = F.concat(*(F.substring("text", s, F.lit(quarter)) for s in starts))
     learn = docs.where(
-        ~held_out(F.col("doc_id"))
-        & F.col("lang").isNotNull()
-        & (F.octet_length("text") > 0)
-        & (F.octet_length("text") <= most_bytes)
-    ).select("doc_id", "lang", "text")
-    sizes = {r.lang: r["count"] for r in learn.groupBy("lang").count().collect()}
+        ~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & (F.octet_length("text") > 0)
+    ).select(
+        F.col("lang").cast("string").alias("lang"),
+        F.when(n > most_bytes, windows).otherwise(F.col("text")).alias("text"),
+        F.xxhash64("doc_id", "text").alias("h"),
+    )
+    # bounded by the number of languages that are learned
+    different = F.approx_count_distinct("h", 0.02).alias("texts")
+    sizes = learn.groupBy("lang").agg(different).orderBy(F.desc("texts"), "lang").limit(languages).collect()
     if not sizes:
         return []
     each = max(1, rows // len(sizes))
-    scale = 1 << 40
-    lucky = F.pmod(F.xxhash64("doc_id"), F.lit(scale))
-    share = F.lit(None).cast("long")
-    for lang, n in sorted(sizes.items()):
-        share = F.when(F.col("lang") == lang, int(min(1, each / n) * scale)).otherwise(share)
-    taken = learn.where(lucky < share).orderBy(lucky, "doc_id").limit(2 * rows)
-    return [(r.lang, r.text) for r in taken.select("lang", "text").collect()]
+    # twice the share, so that chance rarely leaves a language short; then exactly
+    shares = docs.sparkSession.createDataFrame(
+        [(r.lang, int(min(1, (2 * each + 20) / max(1, r.texts)) * scale)) for r in sizes], "lang string, share long"
+    )
+    lucky = F.pmod(F.xxhash64("h"), F.lit(scale))
+    drawn = learn.join(F.broadcast(shares), "lang").where(lucky <= F.col("share")).dropDuplicates(["lang", "h"])
+    order = Window.partitionBy("lang").orderBy(lucky, "h")
+    taken = drawn.withColumn("n", F.row_number().over(order)).where(F.col("n") <= each)
+    return [(r.lang, r.text) for r in taken.orderBy("lang", "n").select("lang", "text").collect()]
+
+
+def usual_bits(docs: DataFrame, model: Model, rows: int = 2000, share: float = 0.99, least: int = 200) -> float | None:
+    """Bits a byte that all but 1 - ``share`` of the held-out labelled texts need at most, from
+    about ``rows`` of those of ``least`` bytes or more; None, if there are fewer than 50."""
+    known = docs.where(held_out(F.col("doc_id")) & F.col("lang").isin(model.names) & (F.octet_length("text") >= least))
+    known = known.select("text", F.xxhash64("doc_id", "text").alias("h"))
+    n, scale = known.count(), 1 << 40
+    lucky = F.pmod(F.xxhash64("h"), F.lit(scale))
+    known = known.where(lucky <= int(min(1, rows / max(n, 1)) * scale)).dropDuplicates(["h"])
+    found = predict_language(known, model, keep=("h",)).agg(
+        F.percentile_approx("bits_per_byte", share).alias("bits"), F.count("bits_per_byte").alias("n")
+    ).first()
+    return found.bits if found.n >= 50 else None
 
 
 def predict_language(

@@ -6,6 +6,7 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import public_tokenizers
 
@@ -52,8 +53,9 @@ class Encoder:
             self._old, self._known = self._known, {}
         parts = [_CUT.split(t) for t in texts]
         known, old, long = self._known, self._old, {}
-        first = self._ids([p[0] for p in parts])
-        new = {w for p in parts for w in p[1:] if w not in known}
+        first = self._ids([p.pop(0) for p in parts])
+        # looks up each piece; the difference of two sets of keys would walk all known ones
+        new = set(chain.from_iterable(parts)).difference(known)
         met = [w for w in new if w in old]
         for w in met:
             known[w] = old[w]
@@ -61,7 +63,7 @@ class Encoder:
         for w, ids in self._new(new):
             (known if len(w) <= _CACHED_LENGTH else long)[w] = ids
         find = (lambda w: known.get(w) or long[w]) if long else known.__getitem__
-        return [f + b"".join(map(find, p[1:])) for f, p in zip(first, parts, strict=True)]
+        return [f + b"".join(map(find, p)) for f, p in zip(first, parts, strict=True)]
 
     def _new(self, pieces: set[str]) -> Iterator[tuple[str, bytes]]:
         plain = [w for w in pieces if not _ODD.search(w)]
@@ -74,7 +76,7 @@ class Encoder:
     def _together(self, pieces: list[str]) -> list[bytes]:
         import numpy as np
 
-        ids = np.array(self._tokenizer.encode(" " + " ".join(pieces), add_special_tokens=False).ids, "<u4")
+        ids = np.frombuffer(self._ids([" " + " ".join(pieces)])[0], "<u4")
         starts = np.flatnonzero(self._begins[ids])
         if len(starts) != len(pieces):  # a vocabulary without that mark
             return self._ids([" " + w for w in pieces])

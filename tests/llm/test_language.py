@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -84,3 +85,30 @@ def test_awkward_rows(spark):
     assert all(r.score == 0 for r in rows if r.lang_pred == "und")
     assert predict_language(docs.limit(0), model).count() == 0
     assert {r.lang_pred for r in identify(docs).collect()} == {"und"}
+
+
+def test_the_sample_is_spread_over_languages_and_texts(spark):
+    rows = [(None, f"aa {k % 7} null ids flood", "xx") for k in range(3000)]
+    rows += [(7, "one id many times", "zz")] * 500 + [(k, f"text of its own {k}", "yy") for k in range(300)]
+    rows += [(9000 + k, f"start {k} " + "middle " * 9000 + f"end {k}", "long") for k in range(6)]
+    taken = training_sample(documents(spark, rows), rows=200)
+    by_lang = Counter(lang for lang, _ in taken)
+    assert by_lang["xx"] == 7 and by_lang["zz"] == (zlib.crc32(b"7") % 3 != 1) and by_lang["yy"] == 50
+    long = [t for lang, t in taken if lang == "long"]
+    assert long and all(len(t) <= 16_384 and "start" in t and "end" in t for t in long)
+
+
+def test_very_many_languages(spark):
+    rows = [(3 * k, f"text {k}", f"l{k % 1200:04}") for k in range(2400)]
+    taken = training_sample(documents(spark, rows), rows=100, languages=50)
+    assert len({lang for lang, _ in taken}) <= 50 and len(taken) <= 100
+
+
+def test_windows_do_not_change_code_lengths():
+    model = fit([("a", "the cat sat on the mat " * 9), ("b", "le chat est sur le lit " * 9)])
+    raw = ["the cat and le chat " * 40, "", "x", "sur the lit " * 25]
+    data = np.frombuffer("".join(raw).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, raw)])
+    whole = model.bits(data, offsets)
+    for window in (1, 7, 64, 1000):
+        assert model.bits(data, offsets, window) == pytest.approx(whole)
