@@ -5,53 +5,80 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardsync.llm.common import file_backed, located, ship_package, written
+from shardsync.llm.common import file_backed, located, quoted, ship_package, written
 from shardsync.llm.dedup import exact_dedup
-from shardsync.llm.language import UNKNOWN, fit, predict_language, training_sample
+from shardsync.llm.language import UNKNOWN, fit, predict_language, training_sample, usual_bits
 from shardsync.llm.mixing import mix_documents
-from shardsync.llm.neardup import near_dedup
+from shardsync.llm.neardup import without_near_copies
 from shardsync.llm.packing import pack_documents
 
-#: A code longer than the bytes themselves means that no learned language fits.
-MOST_BITS_PER_BYTE = 8.0
+#: Texts whose code is this many times longer than usual are in no learned language.
+MOST_OF_USUAL = 2.0
+#: Shorter texts, in bytes, are not judged by the length of their code.
+LEAST_BYTES = 200
 #: No source is taken more often than this.
 MOST_REPEATS = 2.0
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that was learned, with that language. Documents
-    without letters, and those the best language's code makes longer, go."""
+    """Documents in a language that was learned; ``lang`` stays where it is known and is
+    predicted where it is null.
+
+    Documents without a letter go (null and empty texts among them), and those of
+    ``LEAST_BYTES`` or more whose best code needs ``MOST_OF_USUAL`` times the bits a byte that
+    99 of 100 held-out labelled texts need. If nothing was learned, or there are too few held-out
+    texts, that rule rejects none. Rows that repeat stay or go together, null ids are judged
+    like others, and columns come out as they are, whatever their names; an empty table
+    gives no rows."""
     ship_package(spark)
     model = fit(training_sample(docs))
-    found = predict_language(docs, model, keep=tuple(docs.columns))
-    good = found.where((F.col("lang_pred") != UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS_PER_BYTE))
-    return good.withColumn("lang", F.col("lang_pred")).select(*docs.columns)
+    if not model.names:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    limit = usual_bits(docs, model)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    text, lang = (names[docs.columns.index(c)] for c in ("text", "lang"))
+    plain = docs.toDF(*names)
+    found = predict_language(plain.withColumnRenamed(text, "text"), model, keep=tuple("text" if n == text else n for n in names))
+    good = F.col("lang_pred") != UNKNOWN
+    if limit is not None:
+        usual = F.col("bits_per_byte") <= MOST_OF_USUAL * limit
+        good = good & (usual | (F.octet_length("text") < LEAST_BYTES))
+    kept = found.where(good).withColumn(lang, F.coalesce(lang, "lang_pred"))
+    return kept.withColumnRenamed("text", text).select(*names).toDF(*docs.columns)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id."""
+    """Of equal texts (A-Z in lower case, null as empty), the row with the largest id; of
+    rows that share that id, the last by place. A null id is smaller than any other.
+    Columns come out as they are, whatever their names; an empty table gives no rows."""
     ship_package(spark)
     docs = file_backed(docs)
     gone = exact_dedup(docs).where(~F.col("kept")).select("at")
-    return located(docs, *docs.columns).join(gone, "at", "left_anti").select(*docs.columns)
+    row = F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias("row")
+    return located(docs, row).join(gone, "at", "left_anti").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates, the document with the smallest id."""
+    """Of each group of near duplicates, the document with the smallest id, and one of the rows
+    that share it. Null ids come last; texts without words all stay. Columns come out as
+    they are, whatever their names; an empty table gives no rows."""
     ship_package(spark)
-    gone = near_dedup(docs).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_near_copies(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document at least once; those of small sources again, up to
-    ``MOST_REPEATS`` times."""
+    ``MOST_REPEATS`` times. A null source is a source of its own; texts without words count
+    no tokens. Rows that repeat are taken alike. Columns come out as they are, whatever
+    their names; an empty table gives no rows."""
     ship_package(spark)
     return mix_documents(docs, repeats=MOST_REPEATS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token pieces of the documents and their places in sequences."""
+    """The token pieces of the documents and their places in sequences. A null text is
+    empty and has its end id; rows that repeat are packed as often; null ids stay null;
+    further columns are left out; an empty table gives no rows."""
     ship_package(spark)
     return pack_documents(docs)
 
