@@ -32,6 +32,8 @@ _LOOKALIKES = str.maketrans("013457@$!|", "oieastasii")
 _KNOWN = 200_000
 #: Longer tokens are known by their digest, and their form isn't remembered.
 _LONG = 256
+#: Signs at the end of a plain word.
+_ENDS = frozenset(".,;:?!")
 #: Words that a sign joins to one token.
 _JOINED = re.compile(r"(?<=[^\W\d_])[,/\\_\-\u2013\u2014;:|]+(?=[^\W\d_])")
 #: Tokens whose form is remembered; only speed depends on it.
@@ -95,12 +97,31 @@ class Lexicon:
     weights: dict[str, float]
 
     def facts(self, token: str) -> tuple[float, ...]:
-        """Facts about a whole token; of words joined in it, those that weigh most."""
+        """Facts about a whole token; of words joined in it, those that weigh most. A
+        plain word, with a first capital or a sign at its end perhaps, takes the fast way."""
+        marks = token[-1] in _ENDS
+        word = token[:-1] if marks else token
+        upper = not word.islower() and word[1:].islower()
+        low = word.lower() if upper else word
+        if len(word) > 1 and word.isalpha() and low.islower() and low.isalpha() and len(word) <= _LONG:
+            known, start = self._weigh(low)
+            you = low in SECOND_PERSON
+            return (
+                1.0, known, start, known >= 3.0, start >= 1.5, you, False, upper, len(token), marks,
+                token[-1] == "!", False,
+            )
+        return self._any_facts(token)
+
+    def _weigh(self, word: str) -> tuple[float, float]:
+        get, size = self.weights.get, len(word)
+        start = max((get(word[:k] + "+", 0.0) for k in PREFIXES if size >= k), default=0.0)
+        return get(word, 0.0), start
+
+    def _any_facts(self, token: str) -> tuple[float, ...]:
         known = start = 0.0
         for part in words_of(token):
-            word, *starts = _form(keys_of, _form(canonical, part))
-            known = max(known, self.weights.get(word, 0.0))
-            start = max(start, max((self.weights.get(k, 0.0) for k in starts), default=0.0))
+            own = self._weigh(_form(canonical, part))
+            known, start = max(known, own[0]), max(start, own[1])
         return (1.0, known, start, known >= 3.0, start >= 1.5, *_form(form_of, token))
 
 
@@ -123,12 +144,14 @@ class Reader:
         names = tokens
         if max(map(len, tokens)) > _LONG:
             names = [t if len(t) <= _LONG else xxhash.xxh3_128_digest(t.encode()) for t in tokens]
-        for name, token in {n: t for n, t in zip(names, tokens, strict=True) if n not in number}.items():
+        new = {n: t for n, t in zip(names, tokens, strict=True) if n not in number}
+        if new:
             at = len(number)
-            if at == len(self._table):
+            while at + len(new) > len(self._table):
                 self._table = np.concatenate([self._table, np.zeros_like(self._table)])
-            self._table[at] = self._lexicon.facts(token)
-            number[name] = at
+            facts = list(map(self._lexicon.facts, new.values()))
+            self._table[at : at + len(new)] = np.array(facts, np.float32)
+            number.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(number.__getitem__, names), np.int64, len(tokens))
 
     def read(self, text: str | None) -> list[float]:

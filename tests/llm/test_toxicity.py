@@ -151,3 +151,11 @@ def test_known_tokens_are_not_walked(monkeypatch):
     for _ in range(200):
         reader.read("t1 t2 t3 new words in a short text")
     assert time.perf_counter() - start < 0.5
+
+
+def test_the_fast_way_gives_the_same_facts():
+    lexicon = Lexicon({"idiot": 4.0, "idio+": 2.0, "vous": 1.5})
+    tokens = ["idiot", "Idiot", "idiot!", "Idiots,", "vous", "You.", "A", "a", "a.", "IDIOT", "İx", "İi", "ß", "straße;",
+              "!", "..", "x!!", "idiot.?", "数据", "É", "Élan", "ab1", "1", "don't", "idiot|", "aB", "aa" * 200, "Ab:"]
+    for token in tokens:
+        assert lexicon.facts(token) == pytest.approx(lexicon._any_facts(token)), token
