@@ -2,13 +2,16 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from helpers_llm import AWKWARD, documents, read, words
 from shardsync.llm import joins
 from shardsync.llm.jaccard import (
+    BandedTile,
     bits_for, folded, jaccard_classes, set_keys, signature, size_bands,
 )
+from shardsync.llm.joins import set_id
 from shardsync.llm.words import BLANKS, words as scan
 
 BLANK = "\x20\x09-\x0d"
@@ -139,3 +142,27 @@ def test_long_words_have_hashes_of_their_own():
     raw = "".join(texts).encode()
     hashes = scan(np.frombuffer(raw, np.uint8), np.cumsum([0, *map(len, texts)]), BLANKS)[2]
     assert hashes[0] != hashes[1] and hashes[2] == hashes[3]
+
+
+@pytest.mark.parametrize("percent", [75, 80])
+def test_many_pairs_are_intersected_as_one(percent):
+    """By products of tables or pair by pair, the same sets are alike."""
+    rng = np.random.default_rng(percent)
+    base = rng.integers(0, 2**63, 300, np.uint64)
+    sets = []
+    for _ in range(120):
+        keep = rng.random(300) > rng.random() * 0.25
+        sets.append(np.unique(np.concatenate([base[keep], rng.integers(0, 2**63, 5, np.uint64)])))
+    tile = BandedTile(
+        pa.table({
+            "node": [set_id(x) for x in sets], "comp": [set_id(x) for x in sets], "minor": [True] * 120,
+            "n": [len(x) for x in sets], "bits": [signature(x, 1024).tobytes() for x in sets],
+            "found": pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
+        }),
+        percent,
+    )
+    every = np.triu(np.ones((120, 120), bool), 1)
+    found = tile._alike_of_many(every)
+    right = np.array([[i != j and tile.alike(i, j) for j in range(120)] for i in range(120)])
+    assert found is not None and (found[every] == right[every]).all() and 0 < right.sum() < right.size - 120
+    assert tile._alike_of_many(np.triu(np.ones((120, 120), bool), 119)) is None  # too few pairs
