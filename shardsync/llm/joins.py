@@ -6,6 +6,7 @@ alike, and full sets decide."""
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -76,14 +77,15 @@ class Tile:
         return 100 * both >= self.percent * (len(a) + len(b) - both)
 
     def forest(self) -> list[tuple[bytes, bytes]]:
-        """Pairs that would join all that may be alike, from the best connected on."""
+        """Pairs that would join all that may be alike. Searches start at the smallest nodes,
+        so that tiles which hold the same sets mostly give the same pairs."""
         close = self.close()
         left, out = close.any(axis=1), []
-        for start in np.argsort(-close.sum(axis=1), kind="stable"):
-            queue = [start] if left[start] else []
+        for start in np.argsort(np.array(self.nodes, object), kind="stable"):
+            queue = deque([start] if left[start] else [])
             left[start] = False
             while queue:
-                i = queue.pop()
+                i = queue.popleft()
                 met = np.flatnonzero(close[i] & left)
                 left[met] = False
                 queue += met.tolist()
@@ -182,17 +184,27 @@ def _by_tile(
 
 
 class _Join:
-    """What the steps of one join share: the sets' facts, links found so far, components."""
+    """What the steps of one join share: the sets' facts, and the components found so far."""
 
     def __init__(self, docs: DataFrame, nodes: DataFrame, size: int, made: Callable[[pa.Table], Tile]):
         self.docs, self.nodes, self.size, self.made = docs, nodes, size, made
-        self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def add(self, links: DataFrame) -> None:
-        if not links.isEmpty():
-            self.links = links if self.links is None else self.links.unionAll(links)
-            self.labels = components(self.links)
+        """Components with further ``links``. Those known become the nodes that new links
+        join, so that no link is gone through twice."""
+        if links.isEmpty():
+            return
+        if self.labels is None:
+            self.labels = components(links)
+            return
+        first = self.labelled(links.select(F.col("a").alias("node"), "b"))
+        both = self.labelled(first.select(F.col("comp").alias("a"), F.col("b").alias("node")))
+        joined = components(both.select("a", F.col("comp").alias("b")))
+        moved = joined.select(F.col("node").alias("comp"), F.col("comp").alias("least"))
+        old = self.labels.join(moved, "comp", "left").select("node", F.coalesce("least", "comp").alias("comp"))
+        new = joined.join(self.labels.select("node"), "node", "left_anti")
+        self.labels = written(old.unionByName(new), "labels")
 
     def labelled(self, members: DataFrame) -> DataFrame:
         members = members.drop("comp")
