@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from shardsync.llm.common import written
-from shardsync.llm.joins import Tile, keyed_documents, linked_rows, named_classes, set_id, text_sets
+from shardsync.llm.joins import (
+    Tile, bits_for, keyed_documents, linked_rows, named_classes, set_id, signature, text_sets,
+)
 from shardsync.llm.words import mix
 
 #: Keys of a set, and minima that make one key.
 KEYS, ROWS = 32, 3
-#: Bits of the signature of the smallest and the largest sets.
-FEWEST_BITS, MOST_BITS = 256, 1 << 15
 
 _k = np.arange(KEYS * ROWS, dtype=np.uint64)
 _FACTORS = mix(_k * np.uint64(2) + np.uint64(501)) | np.uint64(1)
@@ -33,17 +33,6 @@ def size_bands(most: int, percent: int) -> np.ndarray:
     return np.array(bounds)
 
 
-def bits_for(size: int) -> int:
-    """Width of the signature of a band whose smallest set has ``size`` shingles."""
-    return min(MOST_BITS, max(FEWEST_BITS, 1 << (2 * size - 1).bit_length()))
-
-
-def signature(found: np.ndarray, bits: int) -> np.ndarray:
-    """One parity bit for each cell that shingles are hashed to, as 64-bit words."""
-    cell = (mix(found) & np.uint64(bits - 1)).astype(np.int64)
-    return np.packbits(np.bincount(cell, minlength=bits) & 1, bitorder="little").view(np.uint64)
-
-
 def folded(signatures: np.ndarray, words_: int) -> np.ndarray:
     """Signatures of fewer 64-bit words: a cell's parity is that of the cells it joins."""
     while signatures.shape[1] > words_:
@@ -149,9 +138,10 @@ def jaccard_classes(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
        leave it in several components, it is split by pairs of further keys, in which
        unlike sets fall apart, and at last its minor components meet all its sets, block
        by block. No bucket is cut off, and a tile yields one row a set at most.
+    4. Two sets at the limit share no key in one of 10 ** 10 cases, and a split can take
+       two sets apart; these meet by their rarest shingles, where no link can be missed.
 
-    Signatures and intersections are exact. Two sets at the limit share no key in one of
-    10 ** 10 cases; above it that is rarer still."""
+    Signatures and intersections are exact."""
     docs = keyed_documents(docs)
     sketched = written(_sketches(docs, size, percent), "sketches")
-    return named_classes(linked_rows(docs, sketched, size, lambda t: BandedTile(t, percent), KEYS))
+    return named_classes(linked_rows(docs, sketched, size, lambda t: BandedTile(t, percent), KEYS, percent))

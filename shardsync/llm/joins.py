@@ -2,7 +2,8 @@
 
 What the operators on sets of shingles share. Sets that have a key in common form a bucket.
 A bucket is compared in tiles of bounded size; a tile's own estimate says which pairs may be
-alike, and full sets decide."""
+alike, and full sets decide. Links that keys and estimates miss are found by the rarest
+shingles of the sets, without any chance of a miss."""
 
 from __future__ import annotations
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shardsync.llm.common import file_backed, located, pieces_of, written
 from shardsync.llm.graph import components
-from shardsync.llm.words import BLANKS, shingles, words
+from shardsync.llm.words import BLANKS, mix, shingles, words
 
 #: Sets, and shingles of sets, that a tile holds about.
 TILE, TILE_SHINGLES = 512, 1 << 21
@@ -25,6 +26,42 @@ TILE, TILE_SHINGLES = 512, 1 << 21
 LEVELS, PATHS = 3, 2
 #: Bits of the table that tells which rows' texts are read again.
 WANTED_BITS = 1 << 25
+#: Bits of the signature of the smallest and the largest sets.
+FEWEST_BITS, MOST_BITS = 256, 1 << 15
+#: Rows that tell which shingles are frequent, how many of them have such a shingle, and
+#: how many shingles are kept. They only set the order in which shingles are tried.
+SEEN_ROWS, SEEN_OFTEN, SEEN_MOST = 16_384, 3, 1 << 18
+
+
+def bits_for(size: int) -> int:
+    """Width of the signature of sets of ``size`` shingles."""
+    return min(MOST_BITS, max(FEWEST_BITS, 1 << (2 * size - 1).bit_length()))
+
+
+def signature(found: np.ndarray, bits: int) -> np.ndarray:
+    """One parity bit for each cell that shingles are hashed to, as 64-bit words."""
+    cell = (mix(found) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(cell, minlength=bits) & 1, bitorder="little").view(np.uint64)
+
+
+def bits_apart(a: bytes, b: bytes) -> int:
+    """Bits in which two signatures differ, the wider one folded to the width of the other:
+    at most as many as shingles that only one of the sets has."""
+    low, high = sorted((a, b), key=len)
+    wide, width = int.from_bytes(high, "little"), 8 * len(high)
+    while width > 8 * len(low):
+        width //= 2
+        wide = (wide >> width) ^ (wide & ((1 << width) - 1))
+    return (wide ^ int.from_bytes(low, "little")).bit_count()
+
+
+def rarest(found: np.ndarray, frequent: np.ndarray, percent: int) -> np.ndarray:
+    """The first shingles of a set, in an order that is the same for all sets (frequent ones
+    last, then by hash), as many as two sets can't be alike without sharing one."""
+    at = np.searchsorted(frequent, found)
+    often = frequent[np.minimum(at, len(frequent) - 1)] == found if len(frequent) else np.zeros(len(found), bool)
+    ordered = np.concatenate([found[~often], found[often]])
+    return ordered[: len(found) + 1 - -(-percent * len(found) // 100)]
 
 
 def set_id(found: np.ndarray) -> bytes:
@@ -140,6 +177,13 @@ class Tile:
         return out
 
 
+class PairTile(Tile):
+    """A tile whose pairs are all intersected."""
+
+    def may_be_alike(self) -> np.ndarray:
+        return np.ones((len(self.n), len(self.n)), bool)
+
+
 def _by_tile(
     rows: DataFrame, made: Callable[[pa.Table], Tile], look: Callable[[Tile], list[tuple]], kinds: str
 ) -> DataFrame:
@@ -217,21 +261,14 @@ class _Join:
         those of a few rows with equal table cells, are shuffled: a table of bits of
         fixed size is sent to the tasks that read the documents."""
         wanted = written(wanted.select("node").distinct().join(self.nodes.select("node", "row_key"), "node"), "wanted")
-        cell = F.pmod("row_key", F.lit(WANTED_BITS))
-        words_ = wanted.groupBy(F.floor(cell / 32).alias("word")).agg(
-            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 32).cast("int"))).alias("bits")
-        )
-        # at most WANTED_BITS / 32 rows, whatever the number of documents
-        table, got = np.zeros(WANTED_BITS // 32, np.uint32), words_.toArrow()
-        table[np.asarray(got["word"])] = np.asarray(got["bits"])
+        table = _bit_table(wanted, "row_key")
         size = self.size
 
         def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                at = np.mod(np.asarray(batch.column("row_key")), WANTED_BITS)
-                hit = (table[at // 32] >> (at % 32).astype(np.uint32)) & 1
+                hit = _in_table(table, np.asarray(batch.column("row_key")))
                 if hit.any():
-                    yield batch.filter(pa.array(hit.astype(bool)))
+                    yield batch.filter(pa.array(hit))
 
         def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -269,7 +306,7 @@ class _Join:
         rows = self.labelled(tiles.join(near, ["tile", "node"])).join(facts, "node").join(self.sets_of(near), "node")
         self.add(written(_by_tile(rows, self.made, Tile.links, "a binary, b binary"), "links"))
 
-    def _checked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    def _checked(self, pairs: DataFrame, sets: DataFrame, made: Callable[[pa.Table], Tile] | None = None) -> DataFrame:
         """Those of ``pairs`` that are alike, as tiles of two."""
         numbered = pairs.withColumn("tile", F.xxhash64("a", "b"))
         both = numbered.select("tile", F.col("a").alias("node")).unionAll(
@@ -280,7 +317,136 @@ class _Join:
             .withColumn("minor", F.lit(True))
             .join(self.nodes.select("node", "n", "bits"), "node").join(sets, "node")
         )
-        return written(_by_tile(rows, self.made, Tile.links, "a binary, b binary"), "links")
+        return written(_by_tile(rows, made or self.made, Tile.links, "a binary, b binary"), "links")
+
+
+    def rest(self, percent: int) -> None:
+        """Add all links between components that are left, with no chance of a miss.
+
+        Two alike sets share one of the ``rarest`` shingles of each. Those that sets of
+        several components have bring pairs together, all but those within a shingle's
+        largest component; places in the order, the number of shingles shared there and
+        signatures bound the overlap from above, and full sets decide."""
+        placed, frequent, size = self.labelled(self.nodes.select("node", "row_key", "n")), self._frequent(), self.size
+
+        def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 256):
+                    part = batch.slice(lo, 256)
+                    found = list(text_sets(part.column("text"), size))
+                    rare = [rarest(x, frequent, percent) for x in found]
+                    at = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
+                    made = pa.RecordBatch.from_arrays(
+                        [
+                            part.column("row_key"), pa.array([set_id(x) for x in found], pa.binary()),
+                            pa.ListArray.from_arrays(at, pa.array(np.concatenate(rare).view(np.int64))),
+                            pa.array([signature(x, bits_for(len(x))).tobytes() for x in found], pa.binary()),
+                        ],
+                        ["row_key", "node", "rare", "sign"],
+                    )
+                    yield made.filter(pa.array([len(x) > 0 for x in found]))
+
+        kind = "row_key long, node binary, rare array<long>, sign binary"
+        rows = self.docs.select("row_key", "text").mapInArrow(firsts, kind)
+        placed = written(placed.join(rows, ["row_key", "node"]).drop("row_key"), "rarest")
+        each = placed.select(F.xxhash64("comp").alias("c"), F.explode("rare").alias("s"))
+        ends = each.groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high"))
+        mixed = written(ends.where("low < high").select("s"), "mixed")
+        if mixed.isEmpty():
+            return
+        pairs = written(_meeting(_members(placed, mixed), percent), "meeting")
+        signs = placed.select("node", "sign")
+        both = pairs.join(signs.toDF("a", "sign_a"), "a").join(signs.toDF("b", "sign_b"), "b")
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                total, a, b = (batch.column(c).to_pylist() for c in ("total", "sign_a", "sign_b"))
+                most = [(t - bits_apart(x, y)) // 2 for t, x, y in zip(total, a, b, strict=True)]
+                hit = [m * (100 + percent) >= percent * t for m, t in zip(most, total, strict=True)]
+                yield batch.select(["a", "b"]).filter(pa.array(hit, pa.bool_()))
+
+        close = written(both.select("a", "b", "total", "sign_a", "sign_b").mapInArrow(near, "a binary, b binary"), "close")
+        if not close.isEmpty():
+            sets = self.sets_of(close.select(F.col("a").alias("node")).unionAll(close.select("b")))
+            self.add(self._checked(close, sets, lambda t: PairTile(t, percent)))
+
+    def _frequent(self) -> np.ndarray:
+        """Shingles that many texts have, sorted: found in some rows, which is enough to put
+        them last. Which these are changes the time that :meth:`rest` takes, no link."""
+        size, scale = self.size, 1 << 30
+        share = int(min(1, SEEN_ROWS / max(1, self.nodes.count())) * scale)
+        some = self.docs.where(F.pmod(F.xxhash64("row_key"), F.lit(scale)) < share)
+
+        def flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for found in text_sets(batch.column("text"), size):
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["s"])
+
+        counted = some.select("text").mapInArrow(flat, "s long").groupBy("s").count().where(F.col("count") >= SEEN_OFTEN)
+        # at most SEEN_MOST rows, whatever the number of documents
+        most = counted.orderBy(F.desc("count"), "s").limit(SEEN_MOST).select("s").toArrow()
+        return np.sort(np.asarray(most["s"]).view(np.uint64))
+
+
+def _bit_table(rows: DataFrame, number: str) -> np.ndarray:
+    """A table of WANTED_BITS bits; those of the numbers are set."""
+    cell = F.pmod(number, F.lit(WANTED_BITS))
+    words_ = rows.groupBy(F.floor(cell / 32).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (cell % 32).cast("int"))).alias("bits")
+    )
+    # at most WANTED_BITS / 32 rows, whatever the number of documents
+    table, got = np.zeros(WANTED_BITS // 32, np.uint32), words_.toArrow()
+    table[np.asarray(got["word"])] = np.asarray(got["bits"])
+    return table
+
+
+def _in_table(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    at = np.mod(numbers, WANTED_BITS)
+    return ((table[at // 32] >> (at % 32).astype(np.uint32)) & 1).astype(bool)
+
+
+def _members(placed: DataFrame, mixed: DataFrame) -> DataFrame:
+    """``s``, ``i``, ``node``, ``n``, ``comp``: the sets that have the shingles in ``mixed``
+    among their rarest, and the shingles' places there."""
+    table = _bit_table(mixed, "s")
+
+    def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rare = batch.column("rare")
+            s, n = np.asarray(rare.flatten()), np.asarray(rare.value_lengths())
+            hit = np.flatnonzero(_in_table(table, s))
+            row = np.repeat(np.arange(len(n)), n)[hit]
+            place = hit - (np.cumsum(n) - n)[row]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(s[hit]), pa.array(place), *(batch.column(c).take(pa.array(row)) for c in ("node", "n", "comp"))],
+                ["s", "i", "node", "n", "comp"],
+            )
+
+    rows = placed.select("node", "n", "comp", "rare").mapInArrow(among, "s long, i long, node binary, n long, comp binary")
+    return written(rows.join(mixed, "s"), "members")
+
+
+def _meeting(members: DataFrame, percent: int) -> DataFrame:
+    """``a``, ``b``, ``total``: pairs of different components that may be alike by the
+    shingles that they share in ``members``, and the sum of their sizes."""
+    by_comp = members.groupBy("s", "comp").agg(F.count("*").alias("sets"))
+    major = by_comp.groupBy("s").agg(F.max(F.struct("sets", "comp"))["comp"].alias("major"))
+    rows = members.join(major, "s").withColumn("minor", F.col("comp") != F.col("major")).drop("major")
+    rows = written(rows, "facing")
+    x, y = (rows.select("s", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "comp", "n", "i", "minor"))) for k in "xy")
+    total, small = F.col("n_x") + F.col("n_y"), F.least("n_x", "n_y")
+    both = x.where("minor_x").join(y, "s").where(
+        "comp_x <> comp_y AND (NOT minor_y OR node_x < node_y)"
+    ).where(100 * small >= percent * F.greatest("n_x", "n_y"))
+    pairs = both.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), total.alias("total")).agg(
+        # after the first shingle that both have, and after the last of one's rarest
+        F.max(F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y"))).alias("left"),
+        F.count("*").alias("shared"),
+        F.max(F.ceil(percent * F.greatest("n_x", "n_y") / 100) - 1).alias("later"),
+    )
+    need = percent * F.col("total")
+    most = F.least(F.col("left"), F.col("shared") + F.col("later"))
+    return pairs.where((100 + percent) * most >= need).select("a", "b", "total")
 
 
 def _tiles_needed() -> Column:
@@ -294,7 +460,7 @@ def keyed_documents(docs: DataFrame) -> DataFrame:
 
 
 def linked_rows(
-    docs: DataFrame, sketched: DataFrame, size: int, made: Callable[[pa.Table], Tile], n_keys: int
+    docs: DataFrame, sketched: DataFrame, size: int, made: Callable[[pa.Table], Tile], n_keys: int, percent: int
 ) -> DataFrame:
     """Every row of ``sketched`` (``doc_id``, ``row_key``, ``n``; for sets with shingles ``node``,
     ``keys``, ``bits``) with ``comp``, the component of its set; null for empty sets.
@@ -304,8 +470,10 @@ def linked_rows(
     are checked on full sets, then all pairs that are left in different components. 3. A key
     with more sets than a tile holds is dealt over several tiles by hash. If that leaves it in
     several components, it is split by pairs of further keys, in which unlike sets fall
-    apart, and at last its minor components meet all its sets, block by block. No bucket is
-    cut off, and a tile yields one row a set at most."""
+    apart, and at last its minor components meet all its sets, block by block. 4. Sets that
+    share no key, that a split took apart or that an estimate turned away meet by their
+    rarest shingles (``_Join.rest``), so that no link is left out. No bucket is cut off, and a
+    tile yields one row a set at most."""
     firsts = [F.first(c).alias(c) for c in ("n", "keys", "bits")]
     nodes = written(
         sketched.where("n > 0").groupBy("node").agg(F.min("row_key").alias("row_key"), *firsts), "nodes"
@@ -327,6 +495,7 @@ def linked_rows(
         large = _mixed(join, large)
         if not large.isEmpty():
             join.compare(_facing(large), False)
+    join.rest(percent)
     of = written(join.labelled(nodes.select("node")), "classes")
     return sketched.join(of, "node", "left")
 

@@ -103,7 +103,7 @@ def near_links(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     (shingles), ``comp`` (null for empty sets); see :func:`near_dedup`."""
     docs = keyed_documents(docs)
     sketched = written(sketch_documents(docs, size), "sketches")
-    rows = linked_rows(docs, sketched, size, lambda t: SketchTile(t, percent), BANDS)
+    rows = linked_rows(docs, sketched, size, lambda t: SketchTile(t, percent), BANDS, percent)
     return rows.select("doc_id", "row_key", "n", "comp")
 
 
@@ -124,10 +124,9 @@ def near_dedup(docs: DataFrame, size: int = 5, percent: int = 75) -> DataFrame:
     Each text gives its set's size, a digest, band numbers and an odd sketch of its
     MinHash sample. Sets that share a band number meet in tiles of bounded size
     (``linked_rows``), where the sketches' exclusive or says which pairs may be alike;
-    full sets decide.
-
-    Two documents at the limit share no band in 5 of a million cases, and a sketch
-    turns away one in 10 ** 9; above it both are rarer still."""
+    full sets decide. Of documents at the limit, 5 pairs of a million share no band, and a
+    sketch turns away one in 10 ** 9; these, and all that the tiles of a large bucket take
+    apart, meet by their rarest shingles, where no link can be missed."""
     found = named_classes(near_links(docs, size, percent))
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return found.withColumn("kept", kept)

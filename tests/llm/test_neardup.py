@@ -99,6 +99,60 @@ def test_a_bucket_of_many_tiles(spark, monkeypatch, tile, levels):
     check(neardup.near_dedup(documents(spark, docs)), docs)
 
 
+def test_alike_sets_without_a_common_key(spark, monkeypatch):
+    """Texts that no band brings together, and a sketch that turns all pairs away."""
+    rng = random.Random(11)
+    docs = []
+    for i in range(0, 80, 2):
+        base = [f"{i}w{k}" for k in range(rng.randrange(30, 90))]
+        other = [*base, *(f"{i}y{k}" for k in range(rng.randrange(20)))]
+        docs += [(i, " ".join(base)), (i + 1, " ".join(other))]
+    passage = " ".join(f"p{k}" for k in range(40))
+    docs += [(i, f"{passage} " + " ".join(f"u{rng.randrange(10**6)}" for _ in range(20))) for i in range(100, 160)]
+    real = neardup.bands
+    monkeypatch.setattr(neardup, "bands", lambda least: real(least + np.uint64(hash(least.tobytes()) & 0xFFFFFFFF)))
+    check(neardup.near_dedup(documents(spark, docs)), docs)
+    monkeypatch.setattr(neardup, "bands", real)
+
+    class Blind(neardup.SketchTile):
+        def may_be_alike(self):
+            return np.zeros((len(self.n), len(self.n)), bool)
+
+    monkeypatch.setattr(neardup, "SketchTile", Blind)
+    check(neardup.near_dedup(documents(spark, docs)), docs)
+
+
+def test_a_split_bucket_loses_no_link(spark, monkeypatch):
+    """Pairs that meet in one large bucket alone and differ in all further keys."""
+    monkeypatch.setattr(joins, "TILE", 4)
+    docs = []
+    for i in range(0, 60, 2):
+        base = [f"{i}w{k}" for k in range(60)]
+        docs += [(i, " ".join(base)), (i + 1, " ".join([*base[3:], *(f"{i}y{k}" for k in range(4))]))]
+    real = neardup.bands
+
+    def one_common(least):
+        out = real(least + np.uint64(hash(least.tobytes()) & 0xFFFFFFFF))
+        out[0] = 1
+        return out
+
+    monkeypatch.setattr(neardup, "bands", one_common)
+    check(neardup.near_dedup(documents(spark, docs)), docs)
+
+
+def test_the_rarest_shingles_meet():
+    """Alike sets share one of the rarest, whatever counts as frequent."""
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 200), np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.9], rng.integers(0, 2**63, rng.integers(0, 20), np.uint64)]))
+        both, frequent = len(np.intersect1d(a, b)), np.sort(rng.permutation(a)[: rng.integers(0, len(a) + 1)])
+        apart = joins.bits_apart(*(joins.signature(x, joins.bits_for(len(x))).tobytes() for x in (a, b)))
+        assert apart <= len(a) + len(b) - 2 * both
+        if 100 * both >= 75 * (len(a) + len(b) - both):
+            assert np.isin(joins.rarest(a, frequent, 75), joins.rarest(b, frequent, 75)).any()
+
+
 def test_rows_that_repeat_an_id(spark):
     a = " ".join(f"a{k}" for k in range(50))
     near = a.replace("a49", "z")
