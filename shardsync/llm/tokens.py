@@ -6,7 +6,6 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import public_tokenizers
 
@@ -14,8 +13,11 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 #: A byte-level vocabulary starts a new piece at every blank before a non-blank.
 _CUT = re.compile(r" (?=\S)")
-#: Blanks inside a piece: such a piece is encoded by itself.
-_ODD = re.compile(r"\s")
+#: Blanks inside a piece: such a piece is encoded by itself. Line ends between other signs
+#: are no matter, as the ids around them don't begin with a blank.
+_ODD = re.compile(r"[^\S\n]|\n\Z")
+#: A letter and one sign at the end of a piece: the vocabulary always cuts between them.
+_SIGNED = re.compile(r"[A-Za-z][.,;:!?)\"]\Z")
 _CACHED_LENGTH = 64
 #: Pieces in each of the two generations that are remembered.
 _CACHE_SIZE = 300_000
@@ -30,7 +32,8 @@ class Encoder:
     tokenizer does by itself.
 
     New pieces are encoded many at a time as one text, and its ids are cut where one
-    begins with the blank. When a generation of known pieces is full it becomes the old
+    begins with the blank. One with a sign at its end has the ids of the piece before it, and
+    those of the sign. When a generation of known pieces is full it becomes the old
     one, and pieces that are met again move to the new one."""
 
     def __init__(self, path: str, special: bool = True):
@@ -46,31 +49,63 @@ class Encoder:
             self._begins[number] = token.startswith("\u0120")
         self._known: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._signs: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         if len(self._known) > _CACHE_SIZE:
             self._old, self._known = self._known, {}
-        parts = [_CUT.split(t) for t in texts]
+        parts = [t.split(" ") for t in texts]
+        first = [p.pop(0) for p in parts]
         known, old, long = self._known, self._old, {}
-        first = self._ids([p.pop(0) for p in parts])
-        # looks up each piece; the difference of two sets of keys would walk all known ones
-        new = set(chain.from_iterable(parts)).difference(known)
+        found, new = self._find(parts)
+        # known pieces begin with a non-blank, so texts with other cuts have new pieces
+        wrong = {w for w in new if not w or w[0].isspace()}
+        if wrong:
+            for k, p in enumerate(parts):
+                if not wrong.isdisjoint(p):
+                    first[k], *parts[k] = _CUT.split(texts[k])
+            found, new = self._find(parts)
+        first = self._ids(first)
         met = [w for w in new if w in old]
         for w in met:
             known[w] = old[w]
         new.difference_update(met)
+        signed = [w for w in new if _SIGNED.search(w)]
+        bare = {w[:-1] for w in signed}
+        new.difference_update(signed)
+        new.update(w for w in bare if w not in known and w not in old)
         for w, ids in self._new(new):
             (known if len(w) <= _CACHED_LENGTH else long)[w] = ids
-        find = (lambda w: known.get(w) or long[w]) if long else known.__getitem__
-        return [f + b"".join(map(find, p)) for f, p in zip(first, parts, strict=True)]
+        for w in signed:
+            ids = known.get(w[:-1]) or long.get(w[:-1]) or old[w[:-1]]
+            (known if len(w) <= _CACHED_LENGTH else long)[w] = ids + self._sign(w[-1])
+        out = []
+        for f, p, ids in zip(first, parts, found, strict=True):
+            if None in ids:
+                ids = [i or known.get(w) or long[w] for w, i in zip(p, ids, strict=True)]
+            out.append(f + b"".join(ids))
+        return out
+
+    def _find(self, parts: list[list[str]]) -> tuple[list[list[bytes | None]], set[str]]:
+        """The ids of each piece that is known, and the pieces that are not."""
+        found = [list(map(self._known.get, p)) for p in parts]
+        return found, {
+            w for p, ids in zip(parts, found, strict=True) if None in ids
+            for w, i in zip(p, ids, strict=True) if i is None
+        }
+
+    def _sign(self, sign: str) -> bytes:
+        if sign not in self._signs:
+            self._signs[sign] = self._ids([sign])[0]
+        return self._signs[sign]
 
     def _new(self, pieces: set[str]) -> Iterator[tuple[str, bytes]]:
-        plain = [w for w in pieces if not _ODD.search(w)]
+        odd = list(filter(_ODD.search, pieces))
+        plain = list(pieces.difference(odd))
         for at in range(0, len(plain), _TOGETHER):
             some = plain[at : at + _TOGETHER]
             yield from zip(some, self._together(some), strict=True)
-        odd = [w for w in pieces if _ODD.search(w)]
         yield from zip(odd, self._ids([" " + w for w in odd]), strict=True)
 
     def _together(self, pieces: list[str]) -> list[bytes]:

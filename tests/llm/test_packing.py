@@ -81,6 +81,37 @@ def test_encoder_remembers_two_generations(tokenizer, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, text)
 
 
+def test_signs_line_ends_and_odd_cuts(tokenizer, monkeypatch):
+    """Pieces with a sign or a line end, and texts that blanks alone don't cut right."""
+    from shardsync.llm import tokens
+
+    monkeypatch.setattr(tokens, "_TOGETHER", 5)
+    parts = ["ab", "Zz", "é", "1", "\u3000", "\u0301", " ", "  ", " ", "\n", "\t", "\x1c", ".", ",", "!", ")", '"', "'s", "'"]
+    rng, made = np.random.default_rng(4), Encoder(TOKENIZER)
+    for _ in range(60):
+        texts = ["".join(rng.choice(parts, rng.integers(0, 40))) for _ in range(20)]
+        for text, ids in zip(texts, made.encode(texts), strict=True):
+            assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, text)
+
+
+def test_pieces_with_a_sign_cost_no_encoding(monkeypatch):
+    made = Encoder(TOKENIZER)
+    made.encode(["x word other"])
+    seen = []
+    real = made._together
+    monkeypatch.setattr(made, "_together", lambda pieces: seen.extend(pieces) or real(pieces))
+    made.encode(["x word, other. word! new.\nline"])
+    assert seen == ["new.\nline"]
+
+
+def test_other_work_frees_the_encoders():
+    from shardsync.llm import common, tokens
+
+    tokens.encoder(TOKENIZER).encode(["some words"])
+    common.encoders_freed()
+    assert tokens.encoder.cache_info().currsize == 0
+
+
 def test_encoder_cuts_where_the_tokenizer_does(tokenizer):
     texts = [t or "" for _, t in AWKWARD] + ["a  b", "a \n b", " x", "x 　y", "\n\n  a\t b", " "]
     encoder = Encoder(TOKENIZER)
