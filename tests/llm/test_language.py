@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from helpers_llm import AWKWARD, documents, read
-from shardsync.llm.language import fit, identify, predict_language, training_sample
+from shardsync.llm.language import fit, identify, predict_language, training_sample, usual_bits
 
 SMALL = [("xx", "abab abba abab"), ("yy", "cdcd dccd cdcd ab"), ("xx", "ab")]
 
@@ -104,6 +104,17 @@ def test_very_many_languages(spark):
     assert len({lang for lang, _ in taken}) <= 50 and len(taken) <= 100
 
 
+def test_usual_bits_come_from_all_held_out_texts(spark):
+    """More texts than a sample would have taken, each with a code length of its own."""
+    rng, letters = np.random.default_rng(7), np.array(list("abcd "))
+    rows = [(i, "".join(rng.choice(letters, 200, p=[0.5 - i / 20000, i / 20000, 0.2, 0.1, 0.2])), "xx") for i in range(9000)]
+    model = fit(SMALL, 1)
+    out = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 == 1]
+    assert len(out) > 2500
+    bits = sorted(r.bits_per_byte for r in predict_language(documents(spark, out), model).collect())
+    assert usual_bits(documents(spark, rows), model) == bits[-(-99 * len(bits) // 100) - 1]
+
+
 def test_windows_do_not_change_code_lengths():
     model = fit([("a", "the cat sat on the mat " * 9), ("b", "le chat est sur le lit " * 9)])
     raw = ["the cat and le chat " * 40, "", "x", "sur the lit " * 25]
