@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import string
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -129,6 +130,14 @@ def pieces_of(
         lo = hi
 
 
+def encoders_freed() -> None:
+    """In a Python worker that goes on with other work than token ids: the memory of the
+    encoders and the pieces they remember is given back. Workers serve many stages."""
+    tokens = sys.modules.get("shardsync.llm.tokens")
+    if tokens:
+        tokens.encoder.cache_clear()
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once for each Spark context, for sessions
     that were started without it."""

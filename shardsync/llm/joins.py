@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardsync.llm.common import file_backed, located, pieces_of, written
+from shardsync.llm.common import encoders_freed, file_backed, located, pieces_of, written
 from shardsync.llm.graph import components
 from shardsync.llm.words import BLANKS, mix, shingles, words
 
@@ -194,6 +194,7 @@ def _by_tile(
     types = [pa.int64() if "long" in k else pa.binary() for k in kinds.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoders_freed()
         held: list[pa.Table] = []
 
         def ended() -> list[tuple]:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardsync.llm.common import held_out, pieces_of
+from shardsync.llm.common import encoders_freed, held_out, pieces_of
 from shardsync.llm.words import FOLD
 
 UNKNOWN = "und"
@@ -275,6 +275,7 @@ def predict_language(
     )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoders_freed()
         model = shared.value
         for batch in batches:
             texts = batch.column(at)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardsync.llm.common import file_backed, located, quoted, written
+from shardsync.llm.common import encoders_freed, file_backed, located, quoted, written
 from shardsync.llm.joins import Tile, keyed_documents, linked_rows, named_classes, set_id, text_sets
 from shardsync.llm.words import mix
 
@@ -61,6 +61,7 @@ def sketch_documents(rows: DataFrame, size: int = 5) -> DataFrame:
     digest), ``keys`` (band numbers) and ``bits`` (the odd sketch)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoders_freed()
         for batch in batches:
             n, nodes, keys, bits = [], [], [], []
             for found in text_sets(batch.column("text"), size):
