@@ -326,8 +326,8 @@ class _Join:
 
         Two alike sets share one of the ``rarest`` shingles of each. Those that sets of
         several components have bring pairs together, all but those within a shingle's
-        largest component; places in the order, the number of shingles shared there and
-        signatures bound the overlap from above, and full sets decide."""
+        largest component; places in the order, the number of such shingles from there on
+        and signatures bound the overlap from above, and full sets decide."""
         placed, frequent, size = self.labelled(self.nodes.select("node", "row_key", "n")), self._frequent(), self.size
 
         def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,7 +355,7 @@ class _Join:
         mixed = written(ends.where("low < high").select("s"), "mixed")
         if mixed.isEmpty():
             return
-        pairs = written(_meeting(_members(placed, mixed), percent), "meeting")
+        pairs = written(_meeting(_members(placed, mixed), percent).distinct(), "meeting")
         signs = placed.select("node", "sign")
         both = pairs.join(signs.toDF("a", "sign_a"), "a").join(signs.toDF("b", "sign_b"), "b")
 
@@ -408,46 +408,55 @@ def _in_table(table: np.ndarray, numbers: np.ndarray) -> np.ndarray:
 
 def _members(placed: DataFrame, mixed: DataFrame) -> DataFrame:
     """``s``, ``i``, ``node``, ``n``, ``comp``: the sets that have the shingles in ``mixed``
-    among their rarest, and the shingles' places there."""
+    among their rarest, and the shingles' places there. ``prev`` is the one in ``mixed`` before
+    it, and ``most`` bounds what of the set, from this place on, a set of another component
+    can share whose rarest shingles reach as far. Cells of the table of bits that are set by
+    others make both weaker, not wrong."""
     table = _bit_table(mixed, "s")
 
     def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rare = batch.column("rare")
+            rare, size = batch.column("rare"), np.asarray(batch.column("n"))
             s, n = np.asarray(rare.flatten()), np.asarray(rare.value_lengths())
             hit = np.flatnonzero(_in_table(table, s))
             row = np.repeat(np.arange(len(n)), n)[hit]
             place = hit - (np.cumsum(n) - n)[row]
+            first = np.concatenate([[True], row[1:] != row[:-1]])[: len(row)]
+            prev = np.concatenate([[0], s[hit[:-1]]])[: len(row)]
+            after = np.searchsorted(row, row, "right") - np.arange(len(row))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s[hit]), pa.array(place), *(batch.column(c).take(pa.array(row)) for c in ("node", "n", "comp"))],
-                ["s", "i", "node", "n", "comp"],
+                [
+                    pa.array(s[hit]), pa.array(place), pa.array(prev, pa.int64(), mask=first),
+                    pa.array(after + (size - n)[row]), *(batch.column(c).take(pa.array(row)) for c in ("node", "n", "comp")),
+                ],
+                ["s", "i", "prev", "most", "node", "n", "comp"],
             )
 
-    rows = placed.select("node", "n", "comp", "rare").mapInArrow(among, "s long, i long, node binary, n long, comp binary")
+    kind = "s long, i long, prev long, most long, node binary, n long, comp binary"
+    rows = placed.select("node", "n", "comp", "rare").mapInArrow(among, kind)
     return written(rows.join(mixed, "s"), "members")
 
 
 def _meeting(members: DataFrame, percent: int) -> DataFrame:
-    """``a``, ``b``, ``total``: pairs of different components that may be alike by the
-    shingles that they share in ``members``, and the sum of their sizes."""
+    """``a``, ``b``, ``total``: pairs of different components that may be alike by a shingle
+    that they share in ``members``, and the sum of their sizes; hardly any pair comes twice.
+
+    The bounds are those of the first shingle that both have; if both have the same one
+    before it, it is not the first. So a pair meets there and hardly ever again, however
+    many shingles of a passage it shares, and not at all where too few are left."""
     by_comp = members.groupBy("s", "comp").agg(F.count("*").alias("sets"))
     major = by_comp.groupBy("s").agg(F.max(F.struct("sets", "comp"))["comp"].alias("major"))
     rows = members.join(major, "s").withColumn("minor", F.col("comp") != F.col("major")).drop("major")
     rows = written(rows, "facing")
-    x, y = (rows.select("s", *(F.col(c).alias(f"{c}_{k}") for c in ("node", "comp", "n", "i", "minor"))) for k in "xy")
+    names = ("node", "comp", "n", "i", "prev", "most", "minor")
+    x, y = (rows.select("s", *(F.col(c).alias(f"{c}_{k}") for c in names)) for k in "xy")
     total, small = F.col("n_x") + F.col("n_y"), F.least("n_x", "n_y")
+    # after the first shingle that both have; after the last of the one's rarest that ends first
+    left = F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y"), F.greatest("most_x", "most_y"))
     both = x.where("minor_x").join(y, "s").where(
-        "comp_x <> comp_y AND (NOT minor_y OR node_x < node_y)"
-    ).where(100 * small >= percent * F.greatest("n_x", "n_y"))
-    pairs = both.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), total.alias("total")).agg(
-        # after the first shingle that both have, and after the last of one's rarest
-        F.max(F.least(F.col("n_x") - F.col("i_x"), F.col("n_y") - F.col("i_y"))).alias("left"),
-        F.count("*").alias("shared"),
-        F.max(F.ceil(percent * F.greatest("n_x", "n_y") / 100) - 1).alias("later"),
-    )
-    need = percent * F.col("total")
-    most = F.least(F.col("left"), F.col("shared") + F.col("later"))
-    return pairs.where((100 + percent) * most >= need).select("a", "b", "total")
+        "comp_x <> comp_y AND (NOT minor_y OR node_x < node_y) AND NOT coalesce(prev_x = prev_y, false)"
+    ).where((100 * small >= percent * F.greatest("n_x", "n_y")) & ((100 + percent) * left >= percent * total))
+    return both.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), total.alias("total"))
 
 
 def _tiles_needed() -> Column:

@@ -153,6 +153,33 @@ def test_the_rarest_shingles_meet():
             assert np.isin(joins.rarest(a, frequent, 75), joins.rarest(b, frequent, 75)).any()
 
 
+def test_pairs_with_a_passage_hardly_meet(spark, monkeypatch):
+    """Texts that share a passage, none alike by it, and some that are: a pair comes once or
+    twice, however many shingles it shares, and no link is lost."""
+    rng = random.Random(5)
+    passage = [f"p{k}" for k in range(60)]
+    docs = [(i, " ".join([*passage, *(f"{i}u{k}" for k in range(rng.randrange(4, 25)))])) for i in range(80)]
+    met = []
+    real = joins._meeting
+
+    def meeting(members, percent):
+        out = real(members, percent)
+        plain = members.alias("x").join(members.alias("y"), "s").where("x.comp <> y.comp AND x.node < y.node")
+        met.append((out.count(), out.distinct().count(), plain.count()))
+        return out
+
+    class Blind(neardup.SketchTile):
+        def may_be_alike(self):
+            return np.zeros((len(self.n), len(self.n)), bool)
+
+    monkeypatch.setattr(joins, "_meeting", meeting)
+    monkeypatch.setattr(joins._Join, "_frequent", lambda self: np.empty(0, np.uint64))
+    monkeypatch.setattr(neardup, "SketchTile", Blind)
+    check(neardup.near_dedup(documents(spark, docs)), docs)
+    (rows, pairs, plain), = met
+    assert pairs <= rows <= 2 * pairs and 4 * rows <= plain
+
+
 def test_rows_that_repeat_an_id(spark):
     a = " ".join(f"a{k}" for k in range(50))
     near = a.replace("a49", "z")
