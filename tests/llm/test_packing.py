@@ -94,6 +94,24 @@ def test_signs_line_ends_and_odd_cuts(tokenizer, monkeypatch):
             assert np.frombuffer(ids, "<u4").tolist() == ids_of(tokenizer, text)
 
 
+def test_words_around_a_line_end(tokenizer):
+    """They have the ids of both words, wherever these are met again."""
+    made = Encoder(TOKENIZER)
+    assert made._words is not None
+    texts = ["x one.\ntwo three\nfour", "x one \ntwo \nfour two.\nÉtat, a\n\nb", "\ntwo\nfour four two\none: \none", "x Ünß\nÀÿɏ. × a×b"]
+    for text in texts:
+        assert np.frombuffer(made.encode([text])[0], "<u4").tolist() == ids_of(tokenizer, text)
+
+
+def test_words_of_letters_skip_the_rule(monkeypatch):
+    made = Encoder(TOKENIZER)
+    seen = []
+    real = made._ids
+    monkeypatch.setattr(made, "_ids", lambda texts: seen.extend(texts) or real(texts))
+    made.encode(["x word, other other.\nline été it's"])
+    assert sorted(seen) == [" it's", ",", ".", "x"]
+
+
 def test_pieces_with_a_sign_cost_no_encoding(monkeypatch):
     made = Encoder(TOKENIZER)
     made.encode(["x word other"])
