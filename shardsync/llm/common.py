@@ -19,7 +19,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Within a written step, a finished query's shuffle files go at once, and batches of long texts
+#: that Python gets are this large at most: they are held several times, in the JVM and in Python.
+STEP_CONF = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+}
 _shipped: dict[str, str] = {}
 
 
@@ -48,16 +53,18 @@ def work_dir(spark: SparkSession, label: str) -> str:
 
 @contextmanager
 def tidy(spark: SparkSession) -> Iterator[None]:
-    """Within the block, a finished query's shuffle files go at once."""
-    before = spark.conf.get(FILE_CLEANUP, None)
-    spark.conf.set(FILE_CLEANUP, "true")
+    """Within the block, ``STEP_CONF`` holds."""
+    before = {key: spark.conf.get(key, None) for key in STEP_CONF}
+    for key, value in STEP_CONF.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(FILE_CLEANUP)
-        else:
-            spark.conf.set(FILE_CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
